@@ -57,6 +57,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", dep
     out = docs.join(dropped, (F.col(id_col) == F.col("_doc")) & (F.xxhash64(text) == F.col("_h")), "left")
     out = out.withColumn("_parts", F.split(text, "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "_gone")
-    clean = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_parts", i)), "\n"))
+    clean = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.get(F.transform(F.array("_parts"), lambda parts: F.transform(kept, lambda i: F.get(parts, i))), 0), "\n"))
     n = F.when(F.col(text).isNull(), 0).otherwise(F.size("_parts")).cast("long")
     return out.withColumns({text: clean, "n_lines": n, "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")}).drop("_doc", "_h", "_gone", "_parts")

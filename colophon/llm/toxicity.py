@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 from collections.abc import Iterator
@@ -20,6 +21,8 @@ WINDOW, LEVEL = 6, 5
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 2048
 #: A word is characteristic of toxic text if it stands in different contexts in at least this share of toxic documents, and so many times as often as in ordinary ones.
 LEAST_SHARE, LEAST_RATIO = 0.01, 8.0
+#: Its contexts in toxic text at least, and how surprising (in nats, as a Poisson number) they must be.
+LEAST_COUNT, LEAST_SURPRISE = 4, 10.0
 THRESHOLD = 0.7
 
 
@@ -60,21 +63,31 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 
 
 def _contexts(texts: list[bytes]) -> Counter:
-    """In how many different contexts (with both neighbours) each word stands: copies of a text add nothing."""
-    seen: set[tuple[bytes, bytes, bytes]] = set()
+    """How many different words each word follows, or precedes if those are fewer: exact and near copies of a text add little."""
+    pairs: set[tuple[bytes, bytes]] = set()
     for t in texts:
         w = [b"", *t.lower().split(), b""]
-        seen.update(zip(w, w[1:], w[2:], strict=False))
-    return Counter(x[1] for x in seen)
+        pairs.update(zip(w, w[1:], strict=False))
+    follows, precedes = Counter(x[1] for x in pairs), Counter(x[0] for x in pairs)
+    return Counter({w: min(n, precedes[w]) for w, n in follows.items()})
 
 
 def fit(toxic: list[bytes], ordinary: list[bytes]) -> Model:
-    """Dictionaries of the characteristic words of toxic texts and of the ordinary texts, and a logistic calibration of the features."""
+    """Dictionaries of the characteristic words of toxic texts and of the ordinary texts, and a logistic calibration of the features.
+
+    Every other text makes the dictionaries and the rest calibrates them, so that chance words of the first half weigh no more than
+    they do in texts yet to come.
+    """
     rng = random.Random(1)
-    t, o = _contexts(toxic), _contexts(ordinary)
-    word = [w for w in t if t[w] >= max(2, LEAST_SHARE * len(toxic)) and t[w] / max(1, len(toxic)) >= LEAST_RATIO * (o[w] + 0.5) / max(1, len(ordinary))]
+    known = toxic[::2], ordinary[::2]
+    if len(toxic) > 1 and len(ordinary) > 1:
+        toxic, ordinary = toxic[1::2], ordinary[1::2]
+    t, o = map(_contexts, known)
+    expected = lambda w: (o[w] + 0.5) / max(1, len(known[1])) * len(known[0])
+    surprise = {w: n * math.log(n / expected(w)) - n + expected(w) for w, n in t.items() if n >= max(LEAST_COUNT, LEAST_SHARE * len(known[0])) and n >= LEAST_RATIO * expected(w)}
+    word = [w for w, x in surprise.items() if x >= LEAST_SURPRISE]
     mine = [b" " + w + b" " for w in sorted(word, key=lambda w: (t[w], w))]
-    theirs = sorted({x for text in ordinary for x in windows(text)})
+    theirs = sorted({x for text in known[1] for x in windows(text)})
     rng.shuffle(theirs)
     short = sum(map(len, mine)) <= TOXIC_BYTES
     model = Model(_dictionary(theirs[:50_000], ORDINARY_BYTES), b"".join(mine) if short else _dictionary([x for x in mine for _ in range(4)], TOXIC_BYTES), np.zeros(5))
