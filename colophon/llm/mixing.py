@@ -25,6 +25,11 @@ def permuted(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *(p.cast("string") for p in parts))), 1, 15), 16, 10).cast("long")
 
 
+def _part(share: Column, n: Column) -> Column:
+    """Which of n equal parts of [0, 1] holds share, from 0; in doubles, as the products would not fit a long."""
+    return F.least(F.floor(share * n).cast("long"), n.cast("long") - 1)
+
+
 def source_shares(docs: DataFrame, source: str = "source", tokens: str = "n_tokens") -> DataFrame:
     """(source, rows, tokens, share) of each source with tokens; null is a source of its own."""
     own = docs.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("rows"), F.sum(tokens).cast("long").alias("tokens")).where("tokens > 0")
@@ -74,31 +79,31 @@ def source_weights(shares: DataFrame, exponent: float, budget: int | None = None
     return out.withColumn("quota", F.round(F.col("weight") * total).cast("long")).drop("_p")
 
 
-def draw(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", max_repeat: float | None = MAX_REPEAT, target_entropy: float | None = None, budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
+def draw(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", max_repeat: float | None = MAX_REPEAT, target_entropy: float | None = None, budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(id, source, n_tokens, epoch, block, place): the mixture, a row for each time that a document is drawn.
 
     A source of quota q is gone through in epochs, each a permutation of all its documents, until q tokens are drawn; the document
     that reaches the quota is drawn whole. Positions in its source's quota spread a source evenly over the blocks, and a block is
     permuted as a whole: place counts from 1. Tokens are words. Documents without a word have no tokens: they take no part. Rows that
     repeat are drawn each on their own; a null source is a source. Ties of the permutation go to the smaller id. Other columns are
-    not read. No source is sorted in one task: its permutation is cut into slices of about SLICE_ROWS documents, which are summed.
+    not read. No source is sorted in one task: its permutation is cut into slices of about slice_rows documents, which are summed.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("n_tokens")).where("n_tokens > 0")
     d = cut(d)
     shares = cut(source_shares(d))
-    weights = cut(source_weights(shares, fit_exponent(shares, max_repeat, target_entropy), budget).withColumn("slices", F.ceil(F.col("rows") / SLICE_ROWS)).drop("rows", "share"))
+    weights = cut(source_weights(shares, fit_exponent(shares, max_repeat, target_entropy), budget).withColumn("slices", F.ceil(F.col("rows") / slice_rows)).drop("rows", "share"))
     n_blocks = F.greatest(F.ceil(F.sum("quota").over(Window.partitionBy()) / block_tokens), F.lit(1))
     weights = weights.withColumn("blocks", n_blocks).withColumnRenamed("source", "s")
     small = F.broadcast(weights) if weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else weights
     epochs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1) / F.col("tokens")))
     x = d.join(small, F.col("source").eqNullSafe(F.col("s"))).where("quota > 0").drop("s").withColumn("epoch", F.explode(epochs))
-    x = x.withColumn("order", permuted(seed, F.col("epoch"), F.col("id"))).withColumn("slice", F.floor(F.col("order") * F.col("slices") / F.lit(float(1 << 60))).cast("long"))
+    x = x.withColumn("order", permuted(seed, F.col("epoch"), F.col("id"))).withColumn("slice", _part(F.col("order") / F.lit(float(1 << 60)), F.col("slices")))
     key = ["source", "epoch", "slice"]
     before = x.groupBy(*key).agg(F.sum("n_tokens").alias("_n")).withColumn("_before", F.sum("_n").over(Window.partitionBy("source", "epoch").orderBy("slice")) - F.col("_n")).drop("_n")
     within = F.sum("n_tokens").over(Window.partitionBy(*key).orderBy("order", "id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
     x = x.withColumn("_within", within).join(before.select(*(F.col(k).alias(f"_{k}") for k in key), "_before"), F.col("source").eqNullSafe(F.col("_source")) & (F.col("epoch") == F.col("_epoch")) & (F.col("slice") == F.col("_slice")))
     x = x.withColumn("position", F.col("epoch") * F.col("tokens") + F.col("_before") + F.col("_within")).where("position < quota")
-    x = x.withColumn("block", F.floor(F.col("position") * F.col("blocks") / F.col("quota")).cast("long"))
+    x = x.withColumn("block", _part(F.col("position") / F.col("quota"), F.col("blocks")))
     x = x.withColumn("_order", permuted(seed + 1, F.col("epoch"), F.col("id")))
     x = x.withColumn("place", F.row_number().over(Window.partitionBy("block").orderBy("_order", "id", "epoch", "position")).cast("long"))
     return x.select(F.col("id").alias(id_col), F.col("source").alias(source), "n_tokens", "epoch", "block", "place")

@@ -138,6 +138,8 @@ def test_mixing(spark, odd, none):
     assert got.select("doc_id").distinct().count() == 3000
     blocks = got.groupBy("block").agg(F.sum("n_tokens").alias("n"), F.count_distinct("source").alias("s"), F.max("place").alias("p"), F.count("*").alias("k")).collect()
     assert all(b["s"] == 3 and b["p"] == b["k"] and b["n"] <= 1100 for b in blocks)
+    sliced = mixing.draw(docs, max_repeat=2.0, block_tokens=1000, slice_rows=100)
+    assert sliced.orderBy("block", "place").collect() == got.orderBy("block", "place").collect()
     shares = mixing.source_shares(docs.withColumn("n_tokens", F.lit(5)))
     a = mixing.fit_exponent(shares, target_entropy=1.0)
     p = np.array([0.8, 0.4 / 3, 0.2 / 3]) ** a
