@@ -26,26 +26,54 @@ CACHE = 400_000
 
 
 class WordIds:
-    """Token ids of whole texts, as little-endian uint32 bytes, by a tokenizer whose words never reach over white space.
+    """Token ids of whole texts, as little-endian uint32 bytes, by a tokenizer that marks the ends of words with </w> and drops white space.
 
-    Each distinct word is encoded once; a text is the join of its words. Splitting at ASCII blanks is enough for that.
+    Each distinct word is encoded once; a text is the join of its words. Words of letters only are one word to the tokenizer too, so many
+    are encoded in one call and told apart by their end marks; a full stop or comma after such a word is a word of its own.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
+    def _each(self, part: list[str]) -> None:
+        for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+            self.known[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn(self, new: set[str]) -> None:
+        odd, stems = [w for w in ".," if w not in self.known], {}
+        for w in new:
+            stem = w[:-1] if w[-1] in ".," else w
+            if stem.isalpha():
+                stems[w] = stem.lower() if stem.isascii() else stem
+            else:
+                odd.append(w)
+        plain = list({s for s in stems.values() if s not in self.known})
+        for i in range(0, len(plain), 64):
+            part = plain[i : i + 64]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            at = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(at) == len(part) and at[-1] == len(ids):
+                raw = ids.tobytes()
+                self.known.update((w, raw[4 * x : 4 * y]) for w, x, y in zip(part, [0, *at], at, strict=False))
+            else:
+                self._each(part)
+        for i in range(0, len(odd), 20_000):
+            self._each(odd[i : i + 20_000])
+        for w, s in stems.items():
+            self.known[w] = self.known[s] + (self.known[w[-1]] if w[-1] in ".," else b"")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE:
             self.known.clear()
-        split = [BLANK.split(t.strip(BLANKS)) if t else [] for t in texts]
-        new = list({w for ws in split for w in ws if w not in self.known})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+        # str.split() also splits at the separators x1c to x1f, which are no white space to the tokenizer
+        split = [BLANK.split(t.strip(BLANKS)) if any(c in t for c in "\x1c\x1d\x1e\x1f") and t.strip(BLANKS) else t.split() for t in texts]
+        self._learn({w for ws in split for w in ws if w not in self.known})
         get, end = self.known.__getitem__, np.array([END_ID], "<u4").tobytes()
         return [b"".join(map(get, ws)) + end for ws in split]
 
