@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hierarchy, identifiers, ids, merge, patterns, text, transform, values
+from . import entries, hierarchy, identifiers, ids, merge, patterns, sources, text, transform, values
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -325,6 +325,28 @@ def split_keywords(d):
     return d.sql("select p_partkey, replace(p_name, ' ', ' ; ,') as k from {part}").select("p_partkey", F.explode(text.split_keywords(F.col("k"))).alias("word"))
 
 
+PARTS = "select p_partkey as source_index, array(p_name) as name, array(concat(p_type, ' | ', p_brand, '||', p_type)) as kind, case when p_partkey % 3 = 0 then array(' ', '') else array(p_brand) end as brand from {part}"
+
+
+@query("""select p_partkey as source_index, 0 as pos, 'dcterms:title' as term, 'literal' as type, 'en' as lang, true as is_public, p_name as raw from part
+    union all select p_partkey, k.pos, t.term, 'literal', null, t.term <> 'dcterms:type', case k.pos when 0 then p_type else p_brand end from part, (values (0), (1)) k(pos), (values ('dcterms:subject'), ('dcterms:type')) t(term)""")
+def melt_entries(d):
+    e = entries.clean_entry(d.sql(PARTS).drop("brand"), "|")
+    m = entries.melt(e, {"name": "dcterms:title ^^literal @en", "kind": "dcterms:subject ^^literal | dcterms:type §private"})
+    return m.select("source_index", "pos", "term", F.element_at("types", 1).alias("type"), "lang", "is_public", "raw")
+
+
+@query("select p_partkey as source_index, p_brand as brand from part where p_partkey % 3 <> 0")
+def drop_empty_entries(d):
+    e = entries.drop_empty_entries(entries.clean_entry(d.sql(PARTS).select("source_index", "brand")))
+    return e.select("source_index", F.element_at("brand", 1).alias("brand"))
+
+
+@query("select distinct k as key, p_name as value from (select p_name, unnest([p_brand, p_type, lower(p_brand), lower(p_type)]) as k from part)")
+def read_keyvalue(d):
+    return sources.read_keyvalue(d.sql("select p_name, p_brand, p_type from {part}"), "p_name", ["p_brand", "p_type"], lower=True)
+
+
 def links_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Creators of orders become links to customers; the links counted by the customers' nation."""
     d = Data(spark, sf_dir)
