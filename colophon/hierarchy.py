@@ -51,3 +51,43 @@ def ancestors(edges: DataFrame, max_depth: int = 10) -> DataFrame:
             break
         out = out.union(step)
     return out.groupBy("id", "ancestor_id").agg(F.min("depth").alias("depth"))
+
+
+def thesaurus_values(concept: DataFrame, scheme_id: int, untitled: str = "[Untitled]") -> DataFrame:
+    """Value rows (resource_id, term, type, value, value_resource_id) of concepts (id, parent_id, label, definition, note) in a scheme.
+
+    Labels default to untitled; broader, narrower, inScheme, topConceptOf and hasTopConcept are links. A parent that is no concept is the
+    literal of its id.
+    """
+    c = concept.dropDuplicates(["id"])
+    known = c.select(F.col("id").alias("_known"))
+    x = c.join(known, F.col("parent_id") == F.col("_known"), "left")
+    text = lambda term, value: F.struct(F.lit(term).alias("term"), F.lit("literal").alias("type"), value.cast("string").alias("value"), F.lit(None).cast("long").alias("value_resource_id"))
+    link = lambda term, to: F.struct(F.lit(term).alias("term"), F.lit("resource:item").alias("type"), F.lit(None).cast("string").alias("value"), to.cast("long").alias("value_resource_id"))
+    lost = F.col("parent_id").isNotNull() & F.col("_known").isNull()
+    own = [
+        text("skos:prefLabel", F.coalesce(F.nullif(F.trim("label"), F.lit("")), F.lit(untitled))), text("skos:definition", F.nullif("definition", F.lit(""))), text("skos:scopeNote", F.nullif("note", F.lit(""))),
+        link("skos:inScheme", F.lit(scheme_id)), link("skos:broader", F.col("_known")), text("skos:broader", F.when(lost, F.col("parent_id"))),
+        link("skos:topConceptOf", F.when(F.col("parent_id").isNull(), F.lit(scheme_id))),
+    ]
+    flat = lambda df, arms, who: df.select(F.col(who).alias("resource_id"), F.explode(F.array(*arms)).alias("_v")).select("resource_id", "_v.*").where("value is not null or value_resource_id is not null")
+    down = flat(x.where("_known is not null"), [link("skos:narrower", F.col("id"))], "_known")
+    tops = flat(x.where("parent_id is null").withColumn("_s", F.lit(scheme_id).cast("long")), [link("skos:hasTopConcept", F.col("id"))], "_s")
+    return flat(x, own, "id").union(down).union(tops)
+
+
+def concept_tables(names: DataFrame, langs: DataFrame, parents: DataFrame, roots: list[str], max_depth: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(labels (id, pos, label, lang), places (id, parent_id, scheme)) of names (id, pos, name), langs (id, pos, lang) and parents (id,
+    parent_id): the scheme is the nearest ancestor among the roots, the smallest of several; a parent that is a root is no broader concept."""
+    labels = names.join(langs, ["id", "pos"], "left").select("id", "pos", F.col("name").alias("label"), "lang")
+    up = ancestors(parents, max_depth).where(F.col("ancestor_id").isin(roots))
+    scheme = up.groupBy("id").agg(F.min_by("ancestor_id", F.struct("depth", "ancestor_id")).alias("scheme"))
+    places = parents.select("id", F.when(~F.col("parent_id").isin(roots), F.col("parent_id")).alias("parent_id")).join(scheme, "id", "left")
+    return labels, places
+
+
+def display_title(resources: DataFrame, v: DataFrame, terms: tuple[str, ...] = ("dcterms:title", "foaf:name", "skos:prefLabel")) -> DataFrame:
+    """(id, title): the own title, else the first text of the first of these terms that has one."""
+    order = F.array_position(F.array(*map(F.lit, terms)), F.col("term"))
+    first = v.where(F.col("term").isin(*terms) & (F.col("value") != "")).groupBy(F.col("resource_id").alias("id")).agg(F.min_by("value", F.struct(order.alias("o"), F.col("id"))).alias("_t"))
+    return resources.select("id", "title").join(first, "id", "left").select("id", F.coalesce(F.nullif("title", F.lit("")), "_t").alias("title"))

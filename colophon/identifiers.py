@@ -104,3 +104,22 @@ def resolve_users(df: DataFrame, users: DataFrame, col: str, default: int) -> Da
     i = users.select(F.col("id").alias("_by_id")).distinct()
     x = df.join(i, F.expr(f"try_cast(`{col}` as bigint)") == i["_by_id"], "left").join(u, F.lower(F.when(F.col(col).contains("@"), F.col(col))) == u["_e"], "left").join(n, F.col(col) == n["_name"], "left")
     return x.withColumn("owner_id", F.coalesce("_by_id", "_by_email", "_by_name", F.lit(default))).drop("_by_id", "_by_email", "_by_name", "_e", "_name")
+
+
+def find_assets(identifiers: DataFrame, asset: DataFrame) -> DataFrame:
+    """(identifier, id) of assets by name, else by storage id, else by id; the smallest id of several."""
+    ids = _distinct(identifiers)
+    by = lambda c: ids.join(asset.groupBy(F.col(c).cast("string").alias("identifier")).agg(F.min("id").alias("id")), "identifier")
+    return find_resources([by("name"), by("storage_id"), by("id")])
+
+
+def complete_references(rows: DataFrame, resolved: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """rows with the ids (column to new column) of the identifiers in resolved (identifier, id), also of rows of the same source.
+
+    An identifier resolved more than once has the id of its last row, that with the highest source_index.
+    """
+    last = resolved.groupBy(F.col("identifier").alias("_k")).agg(F.max_by("id", F.struct("source_index", "id")).alias("_id"))
+    for col, new in columns.items():
+        x = rows.join(last, F.col(col) == F.col("_k"), "left")
+        rows = (x.withColumn(new, F.coalesce(new, "_id")) if new in rows.columns else x.withColumn(new, F.col("_id"))).drop("_k", "_id")
+    return rows

@@ -109,3 +109,49 @@ def last_wins(links: DataFrame, key: str, order: str) -> DataFrame:
     """Of rows with one key, the one with the highest order."""
     w = Window.partitionBy(key).orderBy(F.desc(order))
     return links.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+
+def upsert(cur: DataFrame, new: DataFrame, action: str, mapped_terms: list[str] = (), touched: DataFrame | None = None, unidentified: str = "create") -> DataFrame:
+    """Values after an import of values whose resources may exist or not: the action append, revise, update, replace or delete for
+    those that have a value or are touched, and for others create, or skip, which leaves them out."""
+    known = cur.select("resource_id").distinct()
+    if unidentified == "skip" and action != "delete":
+        new = new.join(known, "resource_id", "left_semi").select(*new.columns)
+    ids = new.select("resource_id") if touched is None else touched.select("resource_id")
+    if action == "append":
+        return merge_append(cur, new)
+    if action == "revise":
+        return merge_revise(cur, new)
+    if action == "update":
+        return merge_update(cur, new, ids, list(mapped_terms))
+    if action == "replace":
+        return merge_replace(cur, new, touched)
+    if action == "delete":
+        return cur.join(ids.distinct(), "resource_id", "left_anti").select(*cur.columns)
+    raise ValueError(f"unknown action: {action}")
+
+
+def update_thumbnails(resources: DataFrame, links: DataFrame) -> DataFrame:
+    """resources with the thumbnail of links (resource_id, asset_id), the highest asset of several."""
+    m = links.groupBy(F.col("resource_id").alias("id")).agg(F.max("asset_id").alias("_asset"))
+    return resources.join(m, "id", "left").withColumn("thumbnail_id", F.coalesce("_asset", "thumbnail_id")).select(*resources.columns)
+
+
+def diff_matrix(diff: DataFrame, terms: list[str], layout: str = "row") -> DataFrame:
+    """The signs of a diff as a table: a row for each resource and a column for each term, or (column) a row for each term of a resource
+    with columns for its removed, kept and added texts. Equal signs of a property are shown once."""
+    x = diff.where(F.col("term").isin(terms))
+    if layout == "row":
+        signs = [F.array_join(F.array_sort(F.collect_set(F.when(F.col("term") == t, F.col("diff")))), "").alias(t) for t in terms]
+        return x.groupBy("resource_id").agg(*signs)
+    shown = F.coalesce(F.col("value_resource_id").cast("string"), "uri", "value")
+    side = lambda s, name: F.array_join(F.array_sort(F.collect_set(F.when(F.col("diff") == s, shown))), " | ").alias(name)
+    return x.groupBy("resource_id", "term").agg(side("-", "removed"), side("=", "kept"), side("+", "added"))
+
+
+def write_diff(diff: DataFrame, path: str, fmt: str = "json", terms: list[str] = ()) -> None:
+    """A diff as JSON rows, or as the table of rows or columns with tabs."""
+    if fmt == "json":
+        diff.write.json(path)
+    else:
+        diff_matrix(diff, list(terms), fmt).write.option("sep", "\t").option("header", True).csv(path)

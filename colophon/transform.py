@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ids import allocate_ids
 from .schema import PAYLOAD
-from .text import fold
+from .text import fold, split_uri_label, trim
 from .values import is_literal
 
 _NEW = ("resource_id", "term", *PAYLOAD)
@@ -173,3 +175,81 @@ def transform_pipeline(v: DataFrame, operations: list[dict], cut: Callable[[Data
         if cut and i % every == 0:
             v = cut(v)
     return v
+
+
+def build_mapper(table: DataFrame, source: str, columns: dict[str, dict], separator: str = "|", keep_source: str | None = None) -> DataFrame:
+    """mapper rows of a wide sheet: for each column {term, and type, lang, is_public, prefix, suffix}, a row for each piece of its cell.
+
+    Uris are split into uri and label, a link's text is a resource id; `{source}` and `{destination}` in prefix and suffix are the source
+    and the piece. keep_source names a term that gets a private copy of the source.
+    """
+    rows = table.withColumn("_source", trim(F.col(source))).where("_source <> ''")
+
+    def arm(c: str, s: dict) -> Column:
+        kind = s.get("type", "literal")
+
+        def one(x: Column) -> Column:
+            fill = lambda t: F.replace(F.replace(F.lit(t), F.lit("{source}"), F.col("_source")), F.lit("{destination}"), x)
+            text = F.concat(fill(s.get("prefix", "")), x, fill(s.get("suffix", "")))
+            uri, label = split_uri_label(text)
+            is_uri, link = kind == "uri" or kind.startswith("valuesuggest"), kind.startswith("resource")
+            null = F.lit(None).cast("string")
+            return F.struct(F.lit(s["term"]).alias("term"), F.lit(kind).alias("type"), (null if link else F.nullif(label, F.lit("")) if is_uri else text).alias("value"), (uri if is_uri else null).alias("uri"), (text.try_cast("long") if link else F.lit(None).cast("long")).alias("value_resource_id"), F.lit(s.get("lang")).cast("string").alias("lang"), F.lit(s.get("is_public", True)).alias("is_public"))
+
+        pieces = F.filter(F.transform(F.split(F.coalesce(F.col(c), F.lit("")), re.escape(separator)), trim), lambda x: x != "")
+        return F.transform(pieces, one)
+
+    arms = [arm(c, s) for c, s in columns.items()]
+    if keep_source:
+        null = F.lit(None).cast("string")
+        arms.append(F.array(F.struct(F.lit(keep_source).alias("term"), F.lit("literal").alias("type"), F.col("_source").alias("value"), null.alias("uri"), F.lit(None).cast("long").alias("value_resource_id"), null.alias("lang"), F.lit(False).alias("is_public"))))
+    out = rows.select(F.col("_source").alias("source"), F.explode(F.concat(*arms)).alias("_m")).select("source", "_m.*")
+    return out.where("type not like 'resource%' or value_resource_id is not null").distinct()
+
+
+def create_resources(mapper: DataFrame, start: int, resource_name: str = "items", class_: str | None = None, template: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(resources (id, resource_name, title, class, template), values): a resource for each distinct source, ids from start in its order."""
+    new = allocate_ids(mapper.select("source").where("source <> ''").distinct(), ["source"], start)
+    text = lambda x: F.lit(x).cast("string")
+    made = new.select("id", text(resource_name).alias("resource_name"), F.col("source").alias("title"), text(class_).alias("class"), text(template).alias("template"))
+    return made, mapper.join(new, "source").select(F.col("id").alias("resource_id"), "term", *PAYLOAD).distinct()
+
+
+def merge_source_uris(table: DataFrame, uri_prefix: str = "") -> DataFrame:
+    """(source, uri, label, items) of candidates (source, uri, label, items: an array): each (source, uri) once, with the smallest label and
+    all items. Without a uri a source stays only if it has none; a candidate whose label is the source goes alone if it is the only such."""
+    full = F.when(F.coalesce("uri", F.lit("")) != "", F.when(F.col("uri").startswith(uri_prefix), F.col("uri")).otherwise(F.concat(F.lit(uri_prefix), "uri"))).otherwise("")
+    each = table.select("source", full.alias("uri"), "label", F.explode_outer("items").alias("_i"))
+    one = each.groupBy("source", "uri").agg(F.min("label").alias("label"), F.array_sort(F.collect_set("_i")).alias("_own"))
+    items = each.groupBy("source").agg(F.array_sort(F.collect_set("_i")).alias("items"))
+    w = Window.partitionBy("source")
+    exact = (F.col("uri") != "") & F.coalesce(F.col("label") == F.col("source"), F.lit(False))
+    x = one.withColumns({"_any": F.max(F.col("uri") != "").over(w), "_exact": F.sum(exact.cast("int")).over(w)})
+    x = x.where(((F.col("uri") != "") | ~F.col("_any")) & ((F.col("_exact") != 1) | exact))
+    return x.join(items, "source").select("source", "uri", "label", "items")
+
+
+def update_class_template(resources: DataFrame, v: DataFrame, term: str, by_type: DataFrame) -> DataFrame:
+    """resources with the class and template that by_type (type, class, template) gives the data type of their first value of the term."""
+    m = by_type.groupBy(F.col("type").alias("_type")).agg(F.min(F.struct("class", "template")).alias("_m"))
+    hit = v.where(F.col("term") == term).groupBy(F.col("resource_id").alias("id")).agg(F.min_by("type", "id").alias("_type")).join(m, "_type").drop("_type")
+    return resources.join(hit, "id", "left").withColumns({c: F.coalesce(F.col(f"_m.{c}"), F.col(c)) for c in ("class", "template")}).select(*resources.columns)
+
+
+def fill_from_authority(v: DataFrame, authority: DataFrame, source: str, columns: dict[str, dict]) -> DataFrame:
+    """v and literals, or uris, that an authority table (uri, columns) has for the uris of source: for each column {term, and type, codes
+    (code to text), prefix (before a uri)}."""
+    uris = v.where((F.col("term") == source) & (F.col("uri") != "")).select("resource_id", "uri").distinct()
+
+    def arm(c: str, s: dict) -> Column:
+        x = F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
+        if s.get("codes"):
+            x = F.coalesce(F.create_map(*(F.lit(t) for kv in s["codes"].items() for t in kv))[x], x)
+        is_uri = s.get("type", "literal") == "uri"
+        x = F.concat(F.lit(s.get("prefix", "")), x)
+        null = F.lit(None).cast("string")
+        return F.struct(F.lit(s["term"]).alias("term"), F.lit(s.get("type", "literal")).alias("type"), (null if is_uri else x).alias("value"), (x if is_uri else null).alias("uri"))
+
+    found = uris.join(authority, "uri").select("resource_id", F.explode(F.array(*(arm(c, s) for c, s in columns.items()))).alias("_a")).select("resource_id", "_a.*")
+    new = found.where("coalesce(value, uri) is not null").distinct()
+    return _append(v, new.withColumns({"value_resource_id": F.lit(None).cast("long"), "lang": F.lit(None).cast("string"), "is_public": F.lit(True)}))
