@@ -93,10 +93,10 @@ def reconcile_terms(d):
     return migrate.reconcile_terms(s, t, {"old": "new"}, 1000)
 
 
-@query("select l_orderkey as item_id, l_linenumber, cast(row_number() over (partition by l_orderkey order by l_shipdate desc, l_linenumber) as bigint) as position, l_returnflag = 'A' as is_public from lineitem")
+@query("select l_orderkey as item_id, l_linenumber, cast(row_number() over (partition by l_orderkey order by l_shipdate desc, l_linenumber, l_returnflag) as bigint) as position, l_returnflag = 'A' as is_public from lineitem")
 def media_positions(d):
-    m = d.sql("select l_orderkey as item_id, l_linenumber, - unix_seconds(cast(l_shipdate as timestamp)) as s, if(l_returnflag = 'A', 'public', 'staffonly') as security from {lineitem}")
-    return migrate.access_rights(migrate.media_positions(m, ["s", "l_linenumber"])).select("item_id", "l_linenumber", F.col("position").cast("long").alias("position"), "is_public")
+    m = d.sql("select l_orderkey as item_id, l_linenumber, - unix_micros(cast(l_shipdate as timestamp)) as s, l_returnflag, if(l_returnflag = 'A', 'public', 'staffonly') as security from {lineitem}")
+    return migrate.access_rights(migrate.media_positions(m, ["s", "l_linenumber", "l_returnflag"])).select("item_id", "l_linenumber", F.col("position").cast("long").alias("position"), "is_public")
 
 
 @query("select distinct c_custkey as item_id, n_nationkey + 10 as item_set_id from customer join nation on n_nationkey = c_nationkey where n_regionkey < 3")
