@@ -29,13 +29,14 @@ def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int
 
     The products of the int8 rows are exact whole numbers, and |a.b - a'.b'| <= |a - a'| + |b - b'| (1 + |a - a'|) for unit a, b. A pair
     survives if its upper bound reaches the k-th largest lower bound of its query; its cosine is computed from the original vectors.
-    Of equal vectors only the k + 1 smallest ids can be answers, so a group of copies costs no more than one vector.
+    Of equal vectors only the k smallest ids other than the query's own can be answers, so a group of copies costs no more than one vector.
     """
     order = np.argsort(cid, kind="stable")
     cid, c = cid[order], c[order]
     _, first, of = np.unique(c.view(np.dtype((np.void, c.dtype.itemsize * c.shape[1]))).ravel(), return_index=True, return_inverse=True)
     members = np.argsort(of, kind="stable")
     begin = np.searchsorted(of[members], np.arange(len(first) + 1))
+    sizes = np.diff(begin)
     u = c[first]
     un, qn = np.linalg.norm(u, axis=1), np.linalg.norm(q, axis=1)
     a, sa, ea = _quantised(q / qn[:, None])
@@ -43,16 +44,21 @@ def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int
     near = (a.astype(np.float32) @ b.astype(np.float32).T).astype(np.float64) * sa[:, None] * sb
     slack = ea[:, None] + eb * (1 + ea[:, None]) + 1e-9
     out = []
-    counts = np.minimum(np.diff(begin), k + 1)
     for i in range(len(qid)):
-        low = near[i] - slack[i]
-        rank = np.argsort(-low, kind="stable")[: k + 1]
-        # the query's own vector may take one place
-        enough = np.searchsorted(np.cumsum(counts[rank]), k + 1)
+        # rows of the query's own id are no candidates, wherever they are
+        own = of[np.searchsorted(cid, qid[i]) : np.searchsorted(cid, qid[i], "right")]
+        counts = sizes - np.bincount(own, minlength=len(first))
+        low = np.where(counts > 0, near[i] - slack[i], -np.inf)
+        rank = np.argsort(-low, kind="stable")[:k]
+        enough = np.searchsorted(np.cumsum(counts[rank]), k)
         least = low[rank[enough]] if enough < len(rank) else -np.inf
-        at = np.flatnonzero(near[i] + slack[i] >= least)
+        at = np.flatnonzero((near[i] + slack[i] >= least) & (counts > 0))
         score = np.add.reduce(q[i] * u[at], axis=1) / (qn[i] * un[at])
-        found = ((-s, int(v)) for s, j in zip(score.tolist(), at.tolist(), strict=True) for v in cid[members[begin[j] : begin[j + 1]][: k + 1]] if v != qid[i])
+        found = []
+        for s, j in zip(score.tolist(), at.tolist(), strict=True):
+            ids = cid[members[begin[j] : begin[j + 1]]]
+            lo, hi = np.searchsorted(ids, qid[i]), np.searchsorted(ids, qid[i], "right")
+            found += [(-s, int(v)) for v in (*ids[: min(lo, k)], *ids[hi : hi + max(k - lo, 0)])]
         out += [(int(qid[i]), v, -s) for s, v in heapq.nsmallest(k, found)]
     return out
 
@@ -62,18 +68,19 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector:
 
     Vectors that are null, zero, of no component, or hold a null or non-finite one take no part, neither as query nor as row; vectors of
     another length than a query are no candidates of it. With fewer candidates than k all are returned. Ties go to the smaller id; rows
-    that repeat an id are candidates each on their own. Every block of queries meets every block of rows once, in a task of its own;
+    that repeat an id are candidates each on their own, but ask once, with the smallest of their vectors. Every block of queries meets every block of rows once, in a task of its own;
     each tile gives its k best for a query, and those are merged.
     """
     ok = F.col(vector).isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(vector, lambda x: x != 0)
     v = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), queries.alias("q")).withColumn("v", F.when(ok if vector == "v" else F.expr("v is not null and size(v) > 0 and not exists(v, x -> x is null or isnan(x) or abs(x) = double('inf')) and exists(v, x -> x <> 0)"), F.col("v"))).where("v is not null")
     v = cut(v.withColumn("dim", F.size("v")))
+    asked = v.where("q").groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     n, m = v.agg(F.count(F.lit(1)), F.count_if("q")).first()
     rows, blocks = max(1, -(-n // row_block)), max(1, -(-m // query_block))
     every = lambda x: F.explode(F.sequence(F.lit(0), F.lit(x - 1)))
     place = lambda x: F.pmod(F.xxhash64("id"), F.lit(x)).cast("int")
     right = v.select("id", "v", "dim", place(rows).alias("r"), every(blocks).alias("b"))
-    left = v.where("q").select("id", "v", "dim", place(blocks).alias("b"), every(rows).alias("r"))
+    left = asked.select("id", "v", "dim", place(blocks).alias("b"), every(rows).alias("r"))
 
     def run(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
         matrix = lambda t: t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
@@ -83,7 +90,5 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector:
 
     key = ["dim", "r", "b"]
     best = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, "query_id long, id long, score double")
-    # a query row that is repeated asks once
-    best = best.distinct() if m else best
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

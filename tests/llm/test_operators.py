@@ -246,6 +246,21 @@ def test_nearest(spark):
     assert set(got) == set(range(0, 400, 50))
 
 
+def test_nearest_repeated_ids(spark):
+    """Repeated rows are candidates each on their own; the query's own id is left out of its group of copies before the nearest are taken."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(40, 8)).astype(np.float32)
+    x[30:] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x) for _ in range(2)] + [(0, x[0].tolist())] * 10
+    got = {}
+    for r in nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 10 == 0, row_block=16, query_block=3).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    y = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    for q in range(0, 40, 10):
+        s = sorted((-float(np.round(y[q] @ y[i], 12)), i) for i, _ in rows if i != q)
+        assert sorted(got[q]) == [(n + 1, i) for n, (_, i) in enumerate(s[:5])]
+
+
 def test_toxicity(spark, odd, none):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
