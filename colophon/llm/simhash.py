@@ -96,9 +96,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     of = nodes.join(roots, nodes.fp == roots.node, "left").join(least, "root", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
     return own.join(of, "fp").select(id_col, "fp", "component_id")
-
-
-def representatives(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of its component, with all columns. One row stays of rows with that same id and text."""
-    best = near_duplicates(docs, id_col, text).where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(best, id_col, "left_semi")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import linededup, mixing, packing, quality, simhash
+from colophon.llm import linededup, mixing, neardup, packing, quality
 from colophon.llm.common import cut
 from colophon.llm.queries import table, tokenizer_path
 
@@ -36,8 +36,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id."""
-    return simhash.representatives(docs)
+    """One row of each group of near-duplicates (5-word shingles, similarity 0.8 or more), that with the smallest id."""
+    return neardup.representatives(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

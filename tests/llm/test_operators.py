@@ -289,3 +289,36 @@ def test_pipeline(spark, odd, none):
     for _, stage in p.STAGES:
         assert stage(spark, docs.where("false"), DIR).count() == 0
         stage(spark, odd.select("doc_id", "text", "lang", "source", F.lit(1).cast("long").alias("n_chars")), DIR).count()
+
+
+def test_near_dedup_stage(spark):
+    """Survivors of components of all pairs with 5-word Jaccard of 0.8 or more, most of them many fingerprint bits apart, by brute force."""
+    import corpus_pipeline as p
+
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts = []
+    for _ in range(40):
+        w = [rng.choice(vocabulary) for _ in range(rng.choice((8, 60, 300)))]
+        for _ in range(5):
+            texts.append(" ".join(w))
+            w = list(w)
+            for _ in range(rng.choice((1, 1, 2, 4))):
+                w[rng.randrange(len(w))] = rng.choice(vocabulary)
+    base = [rng.choice(vocabulary) for _ in range(100)]
+    texts += [" ".join(base[:i] + ["x"] + base[i + 1 :]) for i in range(100)]
+    rng.shuffle(texts)
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in p.near_dedup(spark, docs, DIR).collect()} == {find(i) for i in range(len(texts))}
