@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.llm import linededup, mixing, neardup, packing, quality
-from colophon.llm.common import cut
+from colophon.llm.common import cut, words
 from colophon.llm.queries import table, tokenizer_path
 
 
@@ -41,9 +41,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with a word once or more: smaller sources are repeated up to twice as often as the largest."""
-    drawn = mixing.draw(docs).groupBy("doc_id").agg(F.max("epoch").alias("_epochs"))
-    out = docs.join(drawn, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_epochs"))))
+    """Every document with a word once or more: smaller sources are repeated up to twice as often as the largest. A null id is an id."""
+    drawn = mixing.draw(docs).groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(F.max("epoch").alias("_epochs"))
+    own = docs.where(F.size(words(F.col("text"))) > 0)
+    out = own.join(drawn, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))).withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_epochs"))))
     return out.select(*docs.columns)
 
 

@@ -322,3 +322,17 @@ def test_near_dedup_stage(spark):
                 root[max(find(i), find(j))] = min(find(i), find(j))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r["doc_id"] for r in p.near_dedup(spark, docs, DIR).collect()} == {find(i) for i in range(len(texts))}
+
+
+def test_near_dedup_rows(spark):
+    """One row of repeated rows, each row by its own text, and rows with a null id kept unless another is like them."""
+    import corpus_pipeline as p
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(1, a, "s"), (1, a, "s"), (2, b, "s"), (2, a, "s"), (3, b, "s"), (None, c, "s"), (None, c, "s"), (None, d, None), (None, a, "s"), (None, "", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = p.near_dedup(spark, docs, DIR)
+    assert Counter(tuple(r) for r in got.collect()) == Counter([(1, a, "s"), (2, b, "s"), (None, c, "s"), (None, d, None), (None, "", "s")])
+    mixed = p.source_mixing(spark, got, DIR).collect()
+    assert {r["text"] for r in mixed} == {a, b, c, d}
+    assert {r["doc_id"] for r in p.pack(spark, got, DIR).collect()} == {1, 2, None}
