@@ -13,7 +13,7 @@ DEPTH = 3
 FIELDS = 8
 #: Share of its fields that a template must fix.
 SIMILARITY = 0.75
-#: Lines of fewer tokens are left alone.
+#: Lines of fewer tokens have no variable fields: they are compared whole.
 MIN_TOKENS = 5
 VARIABLE = "<*>"
 
@@ -22,11 +22,14 @@ def _lines(docs: DataFrame, id_col: str, text: str, depth: int, fields: int, min
     line = F.col("line")
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^\\x20\\x09-\\x0D]*[0-9][^\\x20\\x09-\\x0D]*", VARIABLE)).otherwise(line)
     d = docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-    d = d.select("doc", "h", "pos", words(masked).alias("w")).where(F.size("w") >= min_tokens)
+    d = d.select("doc", "h", "pos", "line", words(masked).alias("w")).where(F.size("w") > 0)
     k = F.least(F.size("w"), F.lit(fields))
     cut_at = lambda i: F.floor(i * F.size("w") / k).cast("int")
     parts = F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.xxhash64(F.slice("w", cut_at(i) + 1, cut_at(i + 1) - cut_at(i))))
-    return d.select("doc", "h", "pos", F.xxhash64(F.size("w"), F.slice("w", 1, depth)).alias("leaf"), parts.alias("fields"))
+    short = F.size("w") < min_tokens
+    # a short line is a leaf of its own
+    leaf = F.when(short, F.xxhash64(words(line))).otherwise(F.xxhash64(F.size("w"), F.slice("w", 1, depth)))
+    return d.select("doc", "h", "pos", leaf.alias("leaf"), F.when(short, F.array("leaf")).otherwise(parts).alias("fields"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", depth: int = DEPTH, fields: int = FIELDS, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS) -> DataFrame:
@@ -37,7 +40,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", dep
     constants, if these are at least `similarity` of their fields, have one template. A template found in two or more documents
     recurs: its lines stay in the document with the smallest id and are dropped from all others, so no text is lost altogether.
 
-    Lines are separated by \n; lines under min_tokens always stay. A null text stays null and an emptied one is ''. Lines that repeat
+    Lines are separated by \n; lines under min_tokens are compared whole, digits and all, and blank ones always stay. A null text stays null and an emptied one is ''. Lines that repeat
     only within one document stay; rows with the same id count as one document. Equal lines are one row before any comparison, and
     joins back to the lines are on a unique key, so that a line of a third of all documents can be split among tasks.
     """

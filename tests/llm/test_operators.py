@@ -130,6 +130,13 @@ def test_line_templates(spark):
     assert got == {0: 0, 1: 1, 2: 1, 3: 1, 9: 0}
 
 
+def test_short_lines(spark):
+    """Lines of 1 to 4 tokens recur if they are equal, digits and all; blank ones stay."""
+    rows = [(1, "Les.\nroom 1\n\nAll rights reserved."), (2, "Les.\nroom 2\n\nown words"), (3, "All rights  reserved.\nroom 1\n\n"), (4, "Les. more")]
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "room 2\n\nown words", 3: "\n", 4: "Les. more"}
+
+
 def test_mixing(spark, odd, none):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2400, "big").when(F.col("id") < 2800, "mid").otherwise("small").alias("source"), F.lit("a b c d e").alias("text"))
     got = mixing.draw(docs, max_repeat=2.0, block_tokens=1000)
