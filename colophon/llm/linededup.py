@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from functools import reduce
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, words
@@ -29,32 +33,53 @@ def _lines(docs: DataFrame, id_col: str, text: str, depth: int, fields: int, min
     short = F.size("w") < min_tokens
     # a short line is a leaf of its own
     leaf = F.when(short, F.xxhash64(words(line))).otherwise(F.xxhash64(F.size("w"), F.slice("w", 1, depth)))
-    return d.select("doc", "h", "pos", leaf.alias("leaf"), F.when(short, F.array("leaf")).otherwise(parts).alias("fields"))
+    # the first fields lie in the tokens that lead to the leaf
+    fixed = F.least(k, F.ceil((depth + 1) * k / F.size("w")) - 1).cast("int")
+    return d.select("doc", "h", "pos", leaf.alias("leaf"), F.when(short, F.array("leaf")).otherwise(parts).alias("fields"), fixed.alias("fixed"))
+
+
+def _templates(size: int, similarity: float) -> list[tuple[int, ...]]:
+    """The fields that a template of lines of so many fields leaves variable: each choice of as many as similarity allows."""
+    return list(combinations(range(size), size - math.ceil(similarity * size)))
+
+
+def _keys(kinds: DataFrame, fields: int, similarity: float) -> DataFrame:
+    """(line, lo, key): every template that a line belongs to. Fields that all lines of a leaf share are never left variable."""
+    names = [f"_{i}" for i in range(fields)]
+    d = kinds.select("line", "lo", "leaf", "fixed", F.size("fields").alias("size"), *(F.xxhash64(F.lit(i), F.get("fields", F.lit(i))).alias(x) for i, x in enumerate(names)))
+    xor = lambda x, y: x.bitwiseXOR(y)
+    d = d.withColumn("_all", reduce(xor, map(F.col, names)))
+
+    def of(size: int) -> Column:
+        out = _templates(size, similarity)
+        key = lambda v: F.xxhash64("leaf", F.lit(sum(1 << i for i in v)), reduce(xor, (F.col(names[i]) for i in v), F.col("_all")))
+        return F.array(*(F.when(F.least("fixed", F.lit(size - len(v))) <= min(v, default=size), key(v)) for v in out))
+
+    keys = reduce(lambda c, n: c.when(F.col("size") == n, of(n)), range(2, fields + 1), F.when(F.col("size") == 1, of(1)))
+    return d.select("line", "lo", F.explode(keys).alias("key")).where("key is not null")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", depth: int = DEPTH, fields: int = FIELDS, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS) -> DataFrame:
     r"""docs with text replaced by what is kept of it, and n_lines and n_dropped added (columns of those names are replaced).
 
-    A line is cut into tokens; those with a digit become a variable. The number of tokens and the first tokens lead to a leaf. In a
-    leaf, a field that several different lines share in the same place is constant and any other is variable; lines with the same
-    constants, if these are at least `similarity` of their fields, have one template. A template found in two or more documents
-    recurs: its lines stay in the document with the smallest id and are dropped from all others, so no text is lost altogether.
+    A line is cut into tokens; those with a digit become a variable. The number of tokens and the first tokens lead to a leaf. A template
+    of a leaf fixes at least `similarity` of its fields and leaves the others variable, and a line belongs to every template that it
+    agrees with. A line is dropped from a document if one of its templates is found in a document with a smaller id, that is, if an
+    earlier document has a line of the same leaf that agrees in at least `similarity` of the fields. A template's lines stay in the
+    first document unless they in turn agree with an earlier line, so the first line of a kind always stays.
 
-    Lines are separated by \n; lines under min_tokens are compared whole, digits and all, and blank ones always stay. A null text stays null and an emptied one is ''. Lines that repeat
-    only within one document stay; rows with the same id count as one document. Equal lines are one row before any comparison, and
-    joins back to the lines are on a unique key, so that a line of a third of all documents can be split among tasks.
+    Lines are separated by \n; lines under min_tokens are compared whole, digits and all, and blank ones always stay. A null text stays
+    null and an emptied one is ''. Lines that repeat only within one document stay; rows with the same id count as one document. Equal
+    lines are one row before any comparison, and joins back to the lines are on a unique key, so that a line of a third of all documents
+    can be split among tasks.
     """
     lines = cut(_lines(docs, id_col, text, depth, fields, min_tokens).withColumn("line", F.xxhash64("leaf", "fields")))
-    kinds = cut(lines.groupBy("line", "leaf", "fields").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")))
+    kinds = cut(lines.groupBy("line", "leaf", "fields", "fixed").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")))
     shared = kinds.groupBy("leaf").count().where("count > 1").select("leaf")
-    field = kinds.join(shared, "leaf", "left_semi").select("line", "leaf", F.size("fields").alias("size"), F.posexplode("fields").alias("k", "field"))
-    constant = field.groupBy("leaf", "k", "field").count().where("count > 1").select("leaf", "k", "field")
-    fixed = field.join(constant, ["leaf", "k", "field"]).groupBy("line", "leaf", "size").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("k", "field")).alias("template"))
-    fixed = fixed.where(F.col("n") >= F.ceil(F.lit(similarity) * F.col("size"))).select("line", F.xxhash64("leaf", "size", "template").alias("template"))
-    own = kinds.join(fixed, "line", "left").withColumn("template", F.coalesce("template", "line"))
-    own = cut(own.select("line", "template", "lo", "hi"))
-    recurring = own.groupBy("template").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where(F.col("first") < F.col("last")).select("template", "first")
-    first = own.join(recurring, "template").select("line", "first")
+    keys = _keys(kinds.join(shared, "leaf", "left_semi"), fields, similarity)
+    template = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("first")).where("n > 1").select("key", "first")
+    earlier = keys.join(template, "key").where(F.col("first") < F.col("lo")).groupBy("line").agg(F.min("first").alias("first"))
+    first = kinds.select("line", "lo", "hi").join(earlier, "line", "left").select("line", "hi", F.coalesce("first", "lo").alias("first")).where(F.col("first") < F.col("hi")).select("line", "first")
     dropped = lines.join(first, "line").where(F.col("doc") > F.col("first")).groupBy("doc", "h").agg(F.collect_set("pos").alias("_gone"))
     dropped = dropped.select(F.col("doc").alias("_doc"), F.col("h").alias("_h"), "_gone")
     out = docs.join(dropped, (F.col(id_col) == F.col("_doc")) & (F.xxhash64(text) == F.col("_h")), "left")

@@ -137,6 +137,26 @@ def test_short_lines(spark):
     assert got == {1: rows[0][1], 2: "room 2\n\nown words", 3: "\n", 4: "Les. more"}
 
 
+def test_line_similarity(spark):
+    """A line goes exactly if an earlier document has one of its leaf that agrees in three quarters of the fields, also where values of variable fields recur."""
+    rng = random.Random(6)
+    heads = ["a b c", "d e f"]
+    line = lambda n: rng.choice(heads) + "".join(f" {rng.choice('xyz')}{'uv'[rng.random() < 0.2]}" for _ in range(n - 3))
+    rows = [(1, "A B C D E F G H"), (2, "A B C D E F G H'"), (3, "A B C D E F G' H'")]
+    rows += [(10 + i, "\n".join(line(n) for n in (5, 6, 7, 8, 8, 11, 17, 33))) for i in range(30)]
+    seen, want = [], {}
+    for d, t in rows:
+        own = []
+        for x in t.split("\n"):
+            w = x.split()
+            k = min(8, len(w))
+            own.append((len(w), w[:3], [w[i * len(w) // k : (i + 1) * len(w) // k] for i in range(k)]))
+        want[d] = sum(any(n == m and h == g and 4 * sum(map(list.__eq__, f, e)) >= 3 * len(f) for m, g, e in seen) for n, h, f in own)
+        seen += own
+    assert [want[d] for d in (1, 2, 3)] == [0, 1, 1]
+    assert {r["doc_id"]: r["n_dropped"] for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
+
+
 def test_mixing(spark, odd, none):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 2400, "big").when(F.col("id") < 2800, "mid").otherwise("small").alias("source"), F.lit("a b c d e").alias("text"))
     got = mixing.draw(docs, max_repeat=2.0, block_tokens=1000)
