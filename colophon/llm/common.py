@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,24 +16,57 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+#: Folders that `scope` deletes when it ends; the innermost is the last.
+_scopes: list[str] = []
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder's URI under spark.checkpoint.dir. Only where that is unset (tests, one machine) a temporary folder is taken."""
+    """A new folder's URI under spark.checkpoint.dir, which every executor must reach.
+
+    Only on one machine (tests) may that be unset: then a temporary folder is taken.
+    """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not root:
+        if not re.match(r"local($|\[)", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="colophon-")
         sc.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/colophon-{uuid.uuid4().hex}"
+    return f"{(_scopes[-1] if _scopes else root).rstrip('/')}/colophon-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """What is written under it in the shared folder is deleted at its end; a result must be written elsewhere before."""
+    folder = scratch(spark)
+    _scopes.append(folder)
+    try:
+        yield
+    finally:
+        _scopes.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write a result as a table in the shared folder and read it back: lost executors cost no recomputation of what is before."""
     spark = df.sparkSession
-    path = scratch(spark)
+    path = path or scratch(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that df doesn't have, in any case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def bucket_of(col: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n: the folds of the held-out contracts."""
     return F.crc32(col.cast("string").cast("binary")) % n
