@@ -1,269 +1,296 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Symbols are the words (and the end of a text) with at least SYMBOL_SHARE of all training tokens, and one class of all rarer words.
-Contexts of up to DEPTH symbols are counted if they make up CONTEXT_SHARE of the training tokens, so their number has a fixed bound
-whatever the size of the corpus, and stay in the tree where their next-symbol distribution diverges from that of the context
-without its oldest symbol. A distribution is smoothed with that of its parent, the root's with the word counts of the whole corpus; a rare
-word shares its class's probability by its own count, so the model is a distribution over all words, seen or not.
+The root of the tree gives a word its share of the training tokens. A node below is a context of 1 to DEPTH words, with the words that
+follow it at least LEAST times in the whole corpus. It stays in the tree if those words diverge enough from what the context without
+its oldest word predicts: if they save GAIN bits or more altogether. Its distribution is smoothed with that shorter context's, and the
+longest context in the tree before a word scores it. There is no other bound, so the tree grows with the corpus.
+
+The tree is never brought together. Documents are coded in chunks, once; a chunk's n-grams go to the bucket of their hash, where all
+chunks' counts are added, and the sums come back to the chunks that asked. Contexts are summed and tested the same way. Each round
+reads the chunks where they lie (a bucketed table), and moves about 5 bytes for each different n-gram of a chunk.
 """
 
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections import defaultdict
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, scratch
 
-DEPTH = 3
-SYMBOL_SHARE, CONTEXT_SHARE = 5e-4, 5e-4
-#: Nats by which a context's next-symbol distribution must diverge from its parent's, and the parent's weight in smoothing.
-DIVERGENCE, PRIOR = 0.005, 20.0
-#: Distinct words and tokens of a chunk of documents at most; a chunk's words are numbered in it.
-CHUNK_WORDS, CHUNK_TOKENS = 400_000, 4_000_000
-PIECE = 50_000
+DEPTH = 2
+#: Occurrences of a context, and of a word after it, that count.
+LEAST = 2
+#: Bits that a context must save, the weight of its parent in smoothing, and what is taken off each count for unseen words.
+GAIN, PRIOR, DISCOUNT = 8.0, 2.0, 0.5
+#: Tokens of a chunk at least: what a task holds at once. Blocks go from each chunk to each bucket, so larger corpora want larger chunks.
+CHUNK_TOKENS = 2_000_000
 ADD = 0.1
+#: Bits of an n-gram's hash that are kept, and units of a bit in sums.
+KEY_BITS, UNIT = 56, 1024
+BLOCK = "bucket int, tag long, kind int, n int, keys binary, sums binary"
+REPLY = "tag long, kind int, bucket int, reply binary, distinct long"
 
 
-def chunks(docs: DataFrame, held_out: Column, id_col: str, text: str) -> DataFrame:
-    """Documents as word numbers, and each chunk's words: rows (tag, id, held_out, ids) and rows (tag, start, words, counts).
+def pack(x: np.ndarray) -> bytes:
+    """Whole numbers of 8 bytes, compressed byte by byte: all first bytes, then all second ones, and so on."""
+    return zstandard.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
-    A word is known by the XXH64 of its UTF-8 bytes, the end of a text by that of no bytes. counts are of the training documents.
+
+def unpack(raw: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def chunks(docs: DataFrame, held_out: Column, id_col: str, text: str, size: int = CHUNK_TOKENS) -> DataFrame:
+    """A row for each chunk of documents: (tag, ids, held_out, sizes, tokens, words, n_train).
+
+    tokens are the places, in words, of all documents' tokens; a word is known by the XXH64 of its UTF-8 bytes, and the end of a text by
+    that of no bytes. n_train counts the tokens of training documents.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["tag", "id", "held_out", "ids", "start", "words", "counts"]
         number: defaultdict[bytes, int] = defaultdict()
         number.default_factory = number.__len__
-        tag, tokens, counts, id_type = 0, 0, np.zeros(1 << 16, np.int64), pa.int64()
-
-        def batch(rows: list[tuple]) -> pa.RecordBatch:
-            types = [pa.int64(), id_type, pa.bool_(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-
-        def words() -> Iterator[pa.RecordBatch]:
-            h = np.array([xxhash.xxh64_intdigest(w, 42) for w in number], np.uint64).view(np.int64)
-            for i in range(0, len(h), PIECE):
-                yield batch([(tag, None, None, None, i, h[i : i + PIECE], counts[i : min(i + PIECE, len(h))])])
-            number.clear()
-
+        names, held, tokens, id_type = [], [], [], pa.int64()
+
+        def chunk() -> pa.RecordBatch:
+            sizes = list(map(len, tokens))
+            words = np.array([xxhash.xxh64_intdigest(w, 42) for w in number], np.uint64)
+            row = [uuid.uuid4().int >> 65, names, held, sizes, zstandard.compress(np.concatenate(tokens).tobytes(), 3), words.tobytes(), sum(n for n, out in zip(sizes, held, strict=True) if not out)]
+            types = [pa.int64(), pa.list_(id_type), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.int64()]
+            out = pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], ["tag", "ids", "held_out", "sizes", "tokens", "words", "n_train"])
+            for x in (names, held, tokens, number):
+                x.clear()
+            return out
+
+        total = 0
         for b in batches:
             id_type = b.schema.field(0).type
-            rows = []
             for d, t, out in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if not number:
-                    tag, tokens, counts = uuid.uuid4().int >> 65, 0, np.zeros(1 << 16, np.int64)
-                ids = np.fromiter(map(number.__getitem__, [*(t or b"").lower().split(), b""]), np.uint32)
-                if len(number) > len(counts):
-                    counts = np.append(counts, np.zeros(2 * len(number) - len(counts), np.int64))
-                if not out:
-                    n = np.bincount(ids)
-                    counts[: len(n)] += n
-                tokens += len(ids)
-                rows.append((tag, d, out, zlib.compress(ids.tobytes(), 1), None, None, None))
-                if len(number) >= CHUNK_WORDS or tokens >= CHUNK_TOKENS:
-                    yield batch(rows)
-                    rows = []
-                    yield from words()
-            if rows:
-                yield batch(rows)
-        yield from words()
+                tokens.append(np.fromiter(map(number.__getitem__, [*(t or b"").lower().split(), b""]), np.uint32))
+                names.append(d)
+                held.append(out)
+                total += len(tokens[-1])
+                if total >= size:
+                    yield chunk()
+                    total = 0
+        if tokens:
+            yield chunk()
 
     x = docs.select(id_col, F.col(text).cast("binary"), F.coalesce(held_out, F.lit(True)))
-    return x.mapInArrow(run, f"tag long, id {kind}, held_out boolean, ids binary, start int, words array<long>, counts array<long>")
-
-
-@dataclass
-class Tree:
-    """child[node][symbol]: the node of the context with that older symbol before it, or -1; logs[node]: log10 next-symbol probabilities."""
-
-    root: np.ndarray
-    child: np.ndarray = field(init=False)
-    logs: np.ndarray = field(init=False)
-    parent: list[int] = field(default_factory=lambda: [-1])
-    depth: list[int] = field(default_factory=lambda: [0])
-    oldest: list[int] = field(default_factory=lambda: [-1])
-
-    def __post_init__(self) -> None:
-        self.child = np.full((1, len(self.root)), -1, np.int32)
-        self.logs = np.log10(self.root)[None]
-
-    def walk(self, s: np.ndarray, depth: int) -> np.ndarray:
-        """For each place of s, the node of the longest context in the tree that ends before it."""
-        node = np.zeros(len(s), np.int32)
-        live = np.ones(len(s), bool)
-        for k in range(1, depth + 1):
-            live[:k] = False
-            older = np.zeros(len(s), s.dtype)
-            older[k:] = s[:-k]
-            to = np.where(live, self.child[node, older], -1)
-            live = to >= 0
-            node = np.where(live, to, node)
-        return node
-
-    def add(self, parents: list[int], symbols: list[int]) -> list[int]:
-        first = len(self.parent)
-        new = list(range(first, first + len(parents)))
-        self.child = np.vstack([self.child, np.full((len(new), len(self.root)), -1, np.int32)])
-        self.child[parents, symbols] = new
-        self.parent += parents
-        self.oldest += symbols
-        self.depth += [self.depth[p] + 1 for p in parents]
-        return new
-
-
-def _grow(coded: DataFrame, root: np.ndarray, total: int, depth: int) -> Tree:
-    """The tree, a depth at a time: count the next symbols of all its candidate contexts, test them, and find the next candidates."""
-    tree, m, spark = Tree(root), len(root), coded.sparkSession
-    counts: dict[int, np.ndarray] = {}
-    probs = {0: root}
-    training = coded.where("not held_out").select("syms")
-    for d in range(depth + 1):
-        base = tree.depth.index(d) if d in tree.depth else None
-        if base is None or not total:
-            break
-        shared = spark.sparkContext.broadcast((tree.child.copy(), tree.depth.copy(), tree.root))
-
-        def count(batches: Iterator[pa.RecordBatch], d: int = d, base: int = base, shared=shared) -> Iterator[pa.RecordBatch]:
-            child, depths, root = shared.value
-            t = Tree(root)
-            t.child, size = child, len(depths) - base
-            sums = np.zeros(size * m, np.int64)
-            for b in batches:
-                for raw in b.column(0):
-                    s = np.frombuffer(zlib.decompress(raw.as_py()), np.uint16)
-                    at = t.walk(s, d).astype(np.int64)
-                    ok = at >= base
-                    sums += np.bincount((at[ok] - base) * m + s[ok], minlength=size * m)
-            k = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(sums[k])], ["k", "n"])
-
-        # one row for each context and symbol at most
-        rows = training.mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toPandas()
-        table = np.zeros((len(tree.depth) - base, m), np.int64)
-        table.ravel()[rows["k"].to_numpy(int)] = rows["n"].to_numpy(int)
-        for i, row in enumerate(table):
-            counts[base + i] = row
-        if d < depth:
-            # the context (older, s...) is counted where s's first symbols are followed by its last: known from the depth before
-            parents, symbols = [], []
-            for node in range(base, len(tree.depth)):
-                before = _count_before(tree, counts, node, m)
-                for a in np.flatnonzero(before >= CONTEXT_SHARE * total):
-                    parents.append(node)
-                    symbols.append(int(a))
-            tree.add(parents, symbols)
-    kept = {0}
-    logs = [np.log10(root)]
-    for node in range(1, len(tree.parent)):
-        n, up = counts.get(node, np.zeros(m, np.int64)), probs[tree.parent[node]]
-        p = (n + PRIOR * up) / (n.sum() + PRIOR)
-        probs[node] = p
-        logs.append(np.log10(p))
-        if n.sum() and float((p * np.log(p / up)).sum()) >= DIVERGENCE:
-            while node not in kept:  # with the contexts it extends
-                kept.add(node)
-                node = tree.parent[node]
-    for node in range(1, len(tree.parent)):
-        if node not in kept:
-            tree.child[tree.parent[node], tree.oldest[node]] = -1
-    tree.logs = np.array(logs)
-    return tree
-
-
-def _path(tree: Tree, node: int) -> list[int]:
-    """The context's symbols, oldest first."""
-    out = []
-    while node:
-        out.append(tree.oldest[node])
-        node = tree.parent[node]
+    return x.mapInArrow(run, f"tag long, ids array<{kind}>, held_out array<boolean>, sizes array<int>, tokens binary, words binary, n_train long")
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """df written once, dealt by key, so that no later grouping by key moves it. The table's name is given up at once, its files stay."""
+    spark = df.sparkSession
+    name, n = f"colophon_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(n, key).option("path", scratch(spark)).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"drop table {name}")
     return out
 
 
-def _count_before(tree: Tree, counts: dict[int, np.ndarray], node: int, m: int) -> np.ndarray:
-    """For each symbol a, how often the context (a, node's context) occurs."""
-    path = _path(tree, node)
-    out = np.zeros(m, np.int64)
-    if not path:
-        return counts[0].copy()
-    for a in range(m):
-        at = 0
-        for s in reversed([a, *path[:-1]]):
-            at = int(tree.child[at, s])
-            if at < 0:
+class Grams:
+    """The n-grams of one order in a chunk: keys are the different ones, sorted.
+
+    at: places of a chunk where one ends; of: for each of these, its number among the keys; one: for each key, a place where it ends; own:
+    occurrences in the chunk's training documents; asked: whether its count is wanted; n, first: its count in the corpus and whether
+    this chunk is the one that reports it; p: its last word's probability after the others.
+    """
+
+    def __init__(self, full: np.ndarray, at: np.ndarray, train: np.ndarray):
+        self.at, self.full = at, full
+        self.keys, one, self.of = np.unique(full[at] >> np.uint64(64 - KEY_BITS), return_index=True, return_inverse=True)
+        self.one = at[one]
+        self.own = np.bincount(self.of[train[at]], minlength=len(self.keys))
+        self.place = np.full(len(full), -1, np.int64)
+        self.place[at] = self.of
+        self.asked = np.ones(len(self.keys), bool)
+        self.n = self.first = self.p = None
+
+
+class Chunk:
+    """A chunk with what is known so far: replies gives, by kind, the sums that came back; order k has kinds 2k (counts) and 2k + 1 (contexts)."""
+
+    def __init__(self, row: dict, replies: dict[int, np.ndarray], total: int, distinct: int, depth: int):
+        tokens = np.frombuffer(zstandard.decompress(row["tokens"]), np.uint32)
+        self.sizes, self.tag = np.array(row["sizes"], np.int64), row["tag"]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        h = np.frombuffer(row["words"], np.uint64)[tokens]
+        train = np.repeat(~np.array(row["held_out"], bool), self.sizes)
+        inside = np.ones(len(h), bool)
+        inside[self.starts] = False
+        norm = total + ADD * (distinct + 1)
+        full = h
+        self.grams: list[Grams] = []
+        for k in range(1, depth + 2):
+            at = np.arange(len(h)) if k == 1 else np.flatnonzero(inside)
+            if k > 1:
+                if k > 2:
+                    # a context that occurs less often than counts has no node
+                    low = self.grams[-1]
+                    at = at[np.where(low.place[at - 1] >= 0, low.n[low.place[at - 1]] >= LEAST, False)]
+                mixed = np.zeros(len(h), np.uint64)
+                mixed[1:] = (full[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xBF58476D1CE4E5B9)
+                full = mixed ^ (mixed >> np.uint64(29))
+            g = Grams(full, at, train)
+            self.grams.append(g)
+            if k > 1:
+                low = self.grams[-2]
+                g.context, g.tail = low.place[g.one - 1], low.place[g.one]
+                if k > 2:
+                    g.asked = low.n[g.tail] >= LEAST
+            if 2 * k not in replies:
+                if k == 1:  # words and pairs are asked for together
+                    continue
                 break
+            g.n, g.first = np.zeros(len(g.keys), np.int64), np.zeros(len(g.keys), bool)
+            g.n[g.asked], g.first[g.asked] = replies[2 * k] >> 1, replies[2 * k] & 1 > 0
+            if k == 1:
+                g.p = (g.n + ADD) / norm
+                continue
+            g.nodes = np.unique(g.context)
+            g.nodes = g.nodes[low.n[g.nodes] >= LEAST]
+            if 2 * k + 1 not in replies:
+                continue
+            seen, kinds = np.zeros((2, len(low.keys)))
+            seen[g.nodes], kinds[g.nodes] = replies[2 * k + 1].reshape(2, -1)
+            here, n = seen[g.context], low.n[g.context]
+            left = n - here + DISCOUNT * kinds[g.context]
+            g.p = np.where(here > 0, (np.maximum(g.n - DISCOUNT, 0) + (left + PRIOR) * low.p[g.tail]) / (n + PRIOR), low.p[g.tail])
+
+    def counts(self, k: int) -> tuple[int, np.ndarray, np.ndarray]:
+        g = self.grams[k - 1]
+        return 2 * k, g.keys[g.asked], g.own[g.asked][None]
+
+    def contexts(self, k: int) -> tuple[int, np.ndarray, np.ndarray]:
+        """Of each context of order k's n-grams: occurrences and number of the words after it that this chunk reports, and what they save."""
+        g, low = self.grams[k - 1], self.grams[k - 2]
+        mine = np.flatnonzero(g.first)
+        n, context = g.n[mine], g.context[mine]
+        saved = np.rint(n * np.log2(n / low.n[context] / low.p[g.tail[mine]]) * UNIT)
+        sums = np.stack([np.bincount(context, weights=w, minlength=len(low.keys)) for w in (n, np.ones(len(n)), saved)])
+        return 2 * k + 1, low.keys[g.nodes], sums[:, g.nodes].astype(np.int64)
+
+    def scores(self) -> tuple[np.ndarray, ...]:
+        """Of each document: tokens, known tokens, log10 by the root alone, log10 by the tree."""
+        low = self.grams[0]
+        base = np.log10(low.p)[low.of]
+        best = base.copy()
+        for g in self.grams[1:]:
+            best[g.at] = np.log10(g.p)[g.of]
+        add = lambda x: np.add.reduceat(x, self.starts)
+        return self.sizes, add((low.n > 0)[low.of].astype(np.int64)), add(base), add(best)
+
+
+def _blocks(tag: int, kind: int, keys: np.ndarray, sums: np.ndarray, bits: int) -> list[tuple]:
+    """A row for each bucket, the first bits of a key, that has keys: their differences, and their sums."""
+    ends = np.searchsorted(keys, np.arange(1, (1 << bits) + 1, dtype=np.uint64) << np.uint64(KEY_BITS - bits))
+    cuts = zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)
+    return [(b, tag, kind, hi - lo, pack(np.diff(keys[lo:hi], prepend=np.uint64(0))), pack(sums[:, lo:hi])) for b, (lo, hi) in enumerate(cuts) if hi > lo]
+
+
+def _tally(t: pa.Table) -> pa.Table:
+    """Replies to the blocks of a bucket: for counts twice the sum, plus one in the one block that shall report it (sums under LEAST of two
+    words or more: 0); for contexts the sums of those that stay in the tree, else 0."""
+    out = []
+    kinds = np.array(t["kind"])
+    for kind in np.unique(kinds).tolist():
+        rows = t.filter(pa.array(kinds == kind)).to_pylist()
+        keys = np.concatenate([np.cumsum(unpack(r["keys"], np.uint64), dtype=np.uint64) for r in rows])
+        sums = np.concatenate([unpack(r["sums"]).reshape(-1, r["n"]) for r in rows], axis=1)
+        order = np.argsort(keys, kind="stable")
+        new = np.diff(keys[order], prepend=keys[order[:1]] + np.uint64(1)) != 0
+        begin = np.flatnonzero(new)
+        sums = np.add.reduceat(sums[:, order], begin, axis=1)
+        of = np.empty(len(keys), np.int64)
+        of[order] = np.cumsum(new) - 1
+        if kind % 2:
+            reply = np.where(sums[2] >= GAIN * UNIT, sums[:2], 0)[:, of]
         else:
-            out[a] = counts[at][path[-1]]
-    return out
+            total = np.where(sums[0] >= (LEAST if kind > 2 else 1), sums[0], 0)
+            reply = 2 * total[of]
+            reply[order[begin]] += total > 0
+            reply = reply[None]
+        at = 0
+        for r in rows:
+            out.append((r["tag"], kind, r["bucket"], pack(reply[:, at : at + r["n"]]), int((sums[0] > 0).sum()) if at == 0 and kind == 2 else 0))
+            at += r["n"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
+    return pa.table([pa.array(c, x) for c, x in zip(zip(*out, strict=True), types, strict=True)], ["tag", "kind", "bucket", "reply", "distinct"])
 
 
-def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
-    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every whole text.
+def _joined(t: pa.Table) -> dict[int, np.ndarray]:
+    """A chunk's replies by kind, each put together from its buckets in order."""
+    parts: dict[int, list] = {}
+    for r in sorted(t.to_pylist(), key=lambda r: (r["kind"], r["bucket"])):
+        parts.setdefault(r["kind"], []).append(unpack(r["reply"]).reshape(1 + r["kind"] % 2, -1))
+    return {k: np.concatenate(v, axis=1).ravel() for k, v in parts.items()}
 
-    Tokens are words and one end; the model learns from rows that held_out does not select (null counts as held out). base_score
-    is the unigram score with 0.1 added to each count, score that of the suffix tree, both in log10. Null texts are empty: only their
-    end is scored. Without training rows both scores are 0. Repeated rows are counted and scored each on their own; other columns
-    are not read.
 
-    Documents are coded in chunks with a word list each. Word lists are summed over the corpus by word and the sums go back to the chunks,
-    so a frequent word costs a row for each chunk, and no list of all words comes together anywhere.
+class _Replies(dict):
+    """Kinds that were asked for but had no key have an empty reply."""
+
+    def __init__(self, known: dict[int, np.ndarray], asked: set[int]):
+        super().__init__({k: np.zeros(0, np.int64) for k in asked} | known)
+
+
+def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text: str = "text", depth: int = DEPTH, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, gain) of every whole text.
+
+    Tokens are words and one end; the model learns from rows that held_out does not select (null counts as held out). base_score
+    is the unigram score with 0.1 added to each count, score that of the suffix tree, both in log10; gain is what contexts add to a
+    token. Null texts are empty: only their end is scored. Without training rows both scores are 0. Repeated rows are counted and
+    scored each on their own, null ids too; other columns are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    made = cut(chunks(docs, held_out, id_col, text))
-    lists = made.where("words is not null").select("tag", "start", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w"))
-    by_word = Window.partitionBy("h")
-    lists = lists.select("tag", (F.col("start") + F.col("i")).cast("int").alias("i"), F.col("w.words").alias("h"), F.col("w.counts").alias("n"))
-    lists = cut(lists.select("tag", "i", "h", F.sum("n").over(by_word).alias("c"), (F.min("tag").over(by_word) == F.col("tag")).alias("first")))
-    once = lists.where("first")
-    total, distinct = once.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    # at most 1 / SYMBOL_SHARE rows
-    often = once.where((F.col("c") > 0) & (F.col("c") >= SYMBOL_SHARE * total)).select("h", "c").orderBy(F.desc("c"), "h").collect()
-    norm = total + ADD * (distinct + 1)
-    root = np.array([0.0] + [(r["c"] + ADD) / norm for r in often])
-    root[0] = max(1 - root.sum(), ADD / norm)
-    known = np.array([r["h"] for r in often], np.int64)
-    order = np.argsort(known)
-    known, symbol = known[order], (order + 1).astype(np.uint16)
-
-    def code(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
-        at = np.argsort(y["i"].to_numpy())
-        c, h = y["c"].to_numpy()[at], y["h"].to_numpy()[at]
-        p = np.log10((c + ADD) / norm)
-        place = np.minimum(np.searchsorted(known, h), max(len(known) - 1, 0))
-        s = np.where(known[place] == h, symbol[place], 0).astype(np.uint16) if len(known) else np.zeros(len(h), np.uint16)
-        rows = []
-        for d, out, raw in zip(x["id"].to_pylist(), x["held_out"].to_pylist(), x["ids"].to_pylist(), strict=True):
-            ids = np.frombuffer(zlib.decompress(raw), np.uint32)
-            rare = ids[s[ids] == 0]
-            rows.append((d, out, len(ids), int((c[ids] > 0).sum()), float(p[ids].sum()), float(p[rare].sum() - len(rare) * np.log10(root[0])), zlib.compress(s[ids].tobytes(), 1)))
-        types = [x.schema.field("id").type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
-        names = ["id", "held_out", "n_tokens", "n_known", "base_score", "rare", "syms"]
-        return pa.table([pa.array(col, t) for col, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [pa.array([], t) for t in types], names)
-
-    documents = made.where("words is null").select("tag", "id", "held_out", "ids")
-    coded = cut(documents.groupBy("tag").cogroup(lists.select("tag", "i", "h", "c").groupBy("tag")).applyInArrow(code, f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, rare double, syms binary"))
-    tree = _grow(coded, root, total, depth)
-    shared = docs.sparkSession.sparkContext.broadcast((tree.child, tree.logs, root))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        child, logs, root = shared.value
-        t = Tree(root)
-        t.child, t.logs = child, logs
+    made = bucketed(chunks(docs, held_out, id_col, text, chunk_tokens), "tag")
+    n, total = made.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
+    bits = max(6, (n // 4).bit_length())
+    coded = made.select("tag", "held_out", "sizes", "tokens", "words")
+
+    def send(c: Chunk, round_: int) -> pa.Table:
+        """Round 1 counts words and pairs; round r tests the contexts of r words' n-grams, and counts those of one word more."""
+        ask = [c.counts(k) for k in (1, 2) if k <= depth + 1] if round_ == 1 else [c.contexts(round_), *([c.counts(round_ + 1)] if round_ <= depth else [])]
+        rows = [r for kind_, keys, sums in ask for r in _blocks(c.tag, kind_, keys, sums, bits)]
+        types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        return pa.table([pa.array(col, t) for col, t in zip(columns, types, strict=True)], ["bucket", "tag", "kind", "n", "keys", "sums"])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for raw, rare in zip(b.column(5), b.column(6).to_pylist(), strict=True):
-                s = np.frombuffer(zlib.decompress(raw.as_py()), np.uint16)
-                out.append(float(t.logs[t.walk(s, depth), s].sum() + rare))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(5)), pa.array(out)], [id_col, "held_out", "n_tokens", "n_known", "base_score", "score"])
-
-    found = coded.select("id", "held_out", "n_tokens", "n_known", "base_score", "syms", "rare").mapInArrow(score, f"`{id_col}` {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-    return found.select(id_col, "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+            for i in range(b.num_rows):
+                yield from send(Chunk(b.slice(i, 1).to_pylist()[0], {}, 0, 0, 1), 1).to_batches()
+
+    def with_replies(f: Callable[[Chunk, pa.Table], pa.Table], known: set[int], distinct: int):
+        def run(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
+            return f(Chunk(x.to_pylist()[0], _Replies(_joined(y), known), total, distinct, depth), x)
+
+        return run
+
+    tally = lambda blocks: cut(blocks.groupBy("bucket").applyInArrow(_tally, REPLY))
+    replies = tally(coded.mapInArrow(first, BLOCK))
+    distinct = replies.agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
+    known = {2, 4} if depth else {2}
+    for r in range(2, depth + 2):
+        back = coded.groupBy("tag").cogroup(replies.groupBy("tag"))
+        replies = replies.union(tally(back.applyInArrow(with_replies(lambda c, _, r=r: send(c, r), set(known), distinct), BLOCK)))
+        known |= {2 * r + 1} | ({2 * r + 2} if r <= depth else set())
+
+    def scores(c: Chunk, x: pa.Table) -> pa.Table:
+        tokens, seen, base, best = c.scores()
+        flat = [x[name].combine_chunks().flatten() for name in ("ids", "held_out")]
+        return pa.table([*flat, tokens, seen, np.full(len(tokens), total), base, best, (best - base) / tokens], names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "gain"])
+
+    back = made.select("tag", "ids", "held_out", "sizes", "tokens", "words").groupBy("tag").cogroup(replies.groupBy("tag"))
+    out = back.applyInArrow(with_replies(scores, known, distinct), f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, gain double")
+    return out.withColumnRenamed("id", id_col)
