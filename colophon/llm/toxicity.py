@@ -1,45 +1,56 @@
-"""Toxicity by compression distance: windows that a dictionary of toxic text compresses better than one of ordinary text."""
+"""Toxicity by compression distance: windows that a dictionary of toxic text compresses better than one of ordinary text.
+
+Both dictionaries are trained by zstandard, on windows of toxic and of ordinary documents. Most windows of a toxic document are ordinary
+text, so the toxic dictionary is trained again on those that the compression distance itself picks: toxic documents fall into two
+halves, and a half keeps the windows that the other half's dictionary shortens by more than it shortens all but a few ordinary ones.
+Texts apart from both dictionaries calibrate what a document's windows save.
+"""
 
 from __future__ import annotations
 
-import math
-import random
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled documents of either kind that the dictionaries and the calibration are learned from, at most.
-MAX_TOXIC, MAX_ORDINARY = 2000, 4000
-#: Words of a window, and the compression level (a parser that looks ahead finds short matches).
+from .common import cut, fresh
+
+#: Labelled documents of either kind that are learned from at most, and windows (of at most WINDOW_BYTES) of each third of a kind.
+MAX_TOXIC, MAX_ORDINARY, MAX_WINDOWS, WINDOW_BYTES = 2000, 4000, 60_000, 512
+#: Words of a window, and the compression level.
 WINDOW, LEVEL = 6, 5
-ORDINARY_BYTES, TOXIC_BYTES = 8192, 2048
-#: A word is characteristic of toxic text if it stands in different contexts in at least this share of toxic documents, and so many times as often as in ordinary ones.
-LEAST_SHARE, LEAST_RATIO = 0.01, 8.0
-#: Its contexts in toxic text at least, and how surprising (in nats, as a Poisson number) they must be.
-LEAST_COUNT, LEAST_SURPRISE = 4, 10.0
+#: Bytes of the dictionaries, and the lengths of the segments and of the byte runs that zstandard builds each from.
+ORDINARY_BYTES, ORDINARY_COVER = 131_072, {"k": 64, "d": 8}
+TOXIC_BYTES, TOXIC_COVER = 2048, {"k": 16, "d": 8}
+#: Bytes of the toxic dictionaries that pick windows, one after the other, and the share of ordinary windows that must save less.
+PICKING_BYTES, QUANTILE = (16_384, 4096, 2048), 0.998
+#: Savings of a window, in bytes, that a document's features count from.
+SAVINGS = (2, 3, 4, 5, 6, 8)
+RIDGE = 0.3
 THRESHOLD = 0.7
 
 
+def compressor(content: bytes) -> Callable[[bytes], bytes]:
+    """Compresses a window after a dictionary's bytes as plain history: entropy tables, made for long inputs, would blur short windows."""
+    d = zstandard.ZstdCompressionDict(content or b" ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    p = zstandard.ZstdCompressionParameters.from_level(LEVEL, source_size=64, dict_size=len(content), write_content_size=False, write_checksum=False, write_dict_id=False)
+    d.precompute_compress(compression_params=p)
+    return zstandard.ZstdCompressor(compression_params=p, dict_data=d).compress
+
+
 @dataclass
 class Model:
     ordinary: bytes
     toxic: bytes
     coefficients: np.ndarray
 
-    def compressors(self) -> list[zstandard.ZstdCompressor]:
-        """Contents of the trained dictionaries used as plain history, so that only matches tell the lengths apart; the toxic one comes before the ordinary one."""
-        out = []
-        for content in (self.ordinary, self.toxic + self.ordinary):
-            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            out.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
-        return out
+    def compressors(self) -> tuple[Callable, Callable]:
+        """By the ordinary dictionary alone, and by the toxic one with the ordinary one behind it: ordinary words cost the same in both."""
+        return compressor(self.ordinary), compressor(self.toxic + self.ordinary)
 
 
 def windows(text: bytes | None) -> list[bytes]:
@@ -48,90 +59,112 @@ def windows(text: bytes | None) -> list[bytes]:
     return [b" " + b" ".join(w[i : i + WINDOW]) + b" " for i in range(0, len(w), WINDOW)]
 
 
-def features(text: bytes | None, compressors: list[zstandard.ZstdCompressor]) -> np.ndarray:
-    """1, largest saving of a window, root mean saving, root share and logarithm of the number of windows that save three bytes or more."""
-    own, other = (c.compress for c in compressors)
-    saved = np.array([len(own(x)) - len(other(x)) for x in windows(text)] or [0])
-    return np.array([1.0, min(saved.max(), 16) / 8, np.sqrt(max(saved.mean(), 0)), np.sqrt((saved >= 3).mean()), np.log1p((saved >= 3).sum())])
+def savings(x: list[bytes], own: Callable, other: Callable) -> np.ndarray:
+    """Bytes by which the second compressor shortens each window more than the first."""
+    return np.array([len(own(w)) - len(other(w)) for w in x] or [0])
 
 
-def _dictionary(samples: list[bytes], size: int) -> bytes:
+def features(text: bytes | None, own: Callable, other: Callable) -> np.ndarray:
+    """1, the number of windows, and for each of SAVINGS the number and the share of windows that save as much, in logarithms and roots."""
+    s = savings(windows(text), own, other)
+    n = np.array([(s >= k).sum() for k in SAVINGS])
+    return np.array([1.0, np.log1p(len(s)) / 4, *np.log1p(n), *np.sqrt(n / len(s))])
+
+
+def dictionary(samples: list[bytes], size: int, cover: dict[str, int]) -> bytes:
+    """Trained by zstandard; with fewer samples than it accepts, the samples themselves."""
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
-    except zstandard.ZstdError:  # too little text to train on: the text itself
+        return zstandard.train_dictionary(size, samples, **cover).as_bytes()
+    except zstandard.ZstdError:
         return b"".join(samples)[-size:]
 
 
-def _contexts(texts: list[bytes]) -> Counter:
-    """How many different words each word follows, or precedes if those are fewer: exact and near copies of a text add little."""
-    pairs: set[tuple[bytes, bytes]] = set()
-    for t in texts:
-        w = [b"", *t.lower().split(), b""]
-        pairs.update(zip(w, w[1:], strict=False))
-    follows, precedes = Counter(x[1] for x in pairs), Counter(x[0] for x in pairs)
-    return Counter({w: min(n, precedes[w]) for w, n in follows.items()})
+def dictionaries(toxic: tuple[list[bytes], list[bytes]], ordinary: list[bytes], others: list[bytes]) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary from windows: those of two halves of the toxic documents, of ordinary ones, and of ordinary
+    ones apart from these, which tell what chance saves."""
+    base = dictionary(ordinary, ORDINARY_BYTES, ORDINARY_COVER)
+    own, picked = compressor(base), list(toxic)
+    for size in PICKING_BYTES:
+        new = []
+        for half, from_ in ((0, 1), (1, 0)):
+            other = compressor(dictionary(picked[from_], size, TOXIC_COVER) + base)
+            least = np.quantile(savings(others, own, other), QUANTILE) + 1
+            new.append([w for w, s in zip(toxic[half], savings(toxic[half], own, other), strict=False) if s >= least])
+        if min(map(len, new)) < 10:  # nothing to train on
+            break
+        picked = new
+    return base, dictionary(picked[0] + picked[1], TOXIC_BYTES, TOXIC_COVER)
+
+
+def calibrated(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Coefficients of a logistic regression with a small ridge, by Newton's method; with labels of one kind alone, or none, a constant."""
+    b = np.zeros(2 + 2 * len(SAVINGS))
+    if len(set(y.tolist())) < 2:
+        b[0] = 60.0 * y.mean() - 30.0 if len(y) else 0.0
+        return b
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        b = b + np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + RIDGE * np.eye(len(b)), x.T @ (y - p) - RIDGE * b)
+    return b
+
+
+def _measure(docs: DataFrame, keep: list[str], text: Column, model: Model, schema: str, f: Callable[[np.ndarray], list[pa.Array]]) -> DataFrame:
+    """The columns to keep, and what f makes of the texts' features."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, other = model.compressors()
+        for b in batches:
+            x = np.array([features(t.as_py(), own, other) for t in b.column(b.num_columns - 1)]).reshape(-1, len(model.coefficients))
+            arrays = [*b.columns[:-1], *f(x)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
-def fit(toxic: list[bytes], ordinary: list[bytes]) -> Model:
-    """Dictionaries of the characteristic words of toxic texts and of the ordinary texts, and a logistic calibration of the features.
+    made = docs.select(*keep, text.cast("binary").alias(fresh(docs, "text")[0]))
+    types = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+    names = [*keep, *(x.split()[0] for x in schema.split(", "))]
+    return made.mapInArrow(run, ", ".join([*types, schema]))
 
-    Every other text makes the dictionaries and the rest calibrates them, so that chance words of the first half weigh no more than
-    they do in texts yet to come.
-    """
-    rng = random.Random(1)
-    known = toxic[::2], ordinary[::2]
-    if len(toxic) > 1 and len(ordinary) > 1:
-        toxic, ordinary = toxic[1::2], ordinary[1::2]
-    t, o = map(_contexts, known)
-    expected = lambda w: (o[w] + 0.5) / max(1, len(known[1])) * len(known[0])
-    surprise = {w: n * math.log(n / expected(w)) - n + expected(w) for w, n in t.items() if n >= max(LEAST_COUNT, LEAST_SHARE * len(known[0])) and n >= LEAST_RATIO * expected(w)}
-    word = [w for w, x in surprise.items() if x >= LEAST_SURPRISE]
-    mine = [b" " + w + b" " for w in sorted(word, key=lambda w: (t[w], w))]
-    theirs = sorted({x for text in known[1] for x in windows(text)})
-    rng.shuffle(theirs)
-    short = sum(map(len, mine)) <= TOXIC_BYTES
-    model = Model(_dictionary(theirs[:50_000], ORDINARY_BYTES), b"".join(mine) if short else _dictionary([x for x in mine for _ in range(4)], TOXIC_BYTES), np.zeros(5))
-    c = model.compressors()
-    x = np.array([features(s, c) for s in [*toxic, *ordinary]]).reshape(-1, 5)
-    y = np.array([1.0] * len(toxic) + [0.0] * len(ordinary))
-    if len(toxic) and len(ordinary):
-        b = np.zeros(5)
-        for _ in range(30):  # Newton's method with a small ridge
-            p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-            h = x.T @ (x * (p * (1 - p))[:, None]) + 0.1 * np.eye(5)
-            b = b + np.linalg.solve(h, x.T @ (y - p) - 0.1 * b)
-        model.coefficients = b
-    else:
-        model.coefficients[0] = -30.0 if not len(toxic) else 30.0
-    return model
 
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY, max_windows: int = MAX_WINDOWS) -> Model:
+    """Learn from labelled rows: of each label those with the smallest hashes of their ids, at most max_toxic and max_ordinary.
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic", max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY) -> Model:
-    """Learn from labelled rows: of each label those with the smallest hashes of their ids, at most max_toxic and max_ordinary."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).alias("_y"))
-    pick = lambda y, n: known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
-    ids = pick(1, max_toxic).union(pick(0, max_ordinary))
+    Two thirds of either kind make the dictionaries, by at most max_windows windows a third, and one third calibrates (all, if that third
+    lacks a kind). The driver gets these windows and a few numbers of each text, never whole texts. Null ids take no part; of
+    repeated ids the largest label and text count.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("y"))
+    pick = lambda y, n: known.where(F.col("y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n)
+    ids = cut(pick(1, max_toxic).union(pick(0, max_ordinary)).withColumn("third", F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(3)).cast("int")))
     # ids has a fixed bound
-    rows = docs.select(id_col, F.col(text).cast("binary").alias("_t")).join(F.broadcast(ids), F.col(id_col) == F.col("_id")).groupBy("_id", "_y").agg(F.max("_t").alias("_t")).orderBy("_id").toLocalIterator()
-    texts: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in rows:
-        texts[int(r["_y"])].append(bytes(r["_t"] or b""))
-    return fit(texts[1], texts[0])
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text).cast("binary").alias("t")).join(F.broadcast(ids), "_id")
+    sample = cut(texts.groupBy("_id", "y", "third").agg(F.max("t").alias("t")))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for y, third, h, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                w = [x for x in windows(t) if len(x) <= WINDOW_BYTES]
+                n = len(w)
+                yield pa.RecordBatch.from_arrays([pa.array([y] * n, pa.int32()), pa.array([third] * n, pa.int32()), pa.array([h] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(w, pa.binary())], ["y", "third", "h", "pos", "w"])
+
+    each = cut(sample.select("y", "third", F.xxhash64("_id").alias("h"), "t").mapInArrow(split, "y int, third int, h long, pos int, w binary"))
+    some = lambda y, third: [bytes(r[0]) for r in each.where((F.col("y") == y) & (F.col("third") == third)).orderBy("h", "pos", "w").limit(max_windows).select("w").toLocalIterator()]
+    ordinary, toxic = dictionaries((some(1, 0), some(1, 1)), some(0, 0) + some(0, 1), some(0, 2))
+    model = Model(ordinary, toxic, np.zeros(2 + 2 * len(SAVINGS)))
+    kinds = {(r["y"], r["third"]) for r in ids.select("y", "third").distinct().collect()}
+    apart = sample.where("third = 2") if {(0, 2), (1, 2)} <= kinds else sample
+    rows = _measure(apart, ["_id", "y"], F.col("t"), model, "x array<double>", lambda x: [pa.array(x.tolist(), pa.list_(pa.float64()))]).orderBy("_id").collect()
+    model.coefficients = calibrated(np.array([r["x"] for r in rows]).reshape(-1, len(model.coefficients)), np.array([float(r["y"]) for r in rows]))
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, score, predicted) of every whole text; score is the calibrated probability, predicted 1 from threshold on.
 
     Null and empty texts have the score of a text without any saving. Without labels of one kind all scores are 0 or 1 (0.5 without
-    any). Repeated rows are scored alike; other columns are not read.
+    any). Repeated rows and null ids are scored like any other; other columns are not read.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = model.compressors()
-        for b in batches:
-            x = np.array([features(t.as_py(), c) for t in b.column(1)]).reshape(-1, 5)
-            p = 1 / (1 + np.exp(-np.clip(x @ model.coefficients, -30, 30)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], [id_col, "score", "predicted"])
+    def judge(x: np.ndarray) -> list[pa.Array]:
+        p = 1 / (1 + np.exp(-np.clip(x @ model.coefficients, -30, 30)))
+        return [pa.array(p), pa.array((p >= threshold).astype(np.int32))]
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, F.col(text).cast("binary").alias("t")).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
+    return _measure(docs, [id_col], F.col(text), model, "score double, predicted int", judge)
