@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from .common import cut
 
 K = 5
-#: Vectors of a tile at most, on either side, on average: blocks are dealt by a hash of the id.
-QUERY_BLOCK, ROW_BLOCK = 1024, 8192
+#: Vectors of a tile, on either side, on average: blocks are dealt by a hash of the id. Larger ones copy each vector to fewer tiles.
+QUERY_BLOCK, ROW_BLOCK = 8192, 8192
+#: Queries of a tile that are multiplied at once, and components of a product that float32 adds up exactly (127 * 127 * PART < 2**24).
+STRIP, PART = 1024, 1024
 
 
 def _quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -24,6 +26,19 @@ def _quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q, step, np.linalg.norm(x - q * step[:, None], axis=1)
 
 
+def _length(x: np.ndarray) -> np.ndarray:
+    """Euclidean length of each row, components added from first to last."""
+    return np.sqrt(np.add.accumulate(x * x, axis=1)[:, -1])
+
+
+def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact products of int8 rows."""
+    out = np.zeros((len(a), len(b)))
+    for i in range(0, a.shape[1], PART):
+        out += a[:, i : i + PART].astype(np.float32) @ b[:, i : i + PART].astype(np.float32).T
+    return out
+
+
 def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int = K) -> list[tuple[int, int, float]]:
     """The k nearest of the rows (cid, c) for each query: (query, id, cosine), ties to the smaller id.
 
@@ -38,22 +53,25 @@ def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int
     begin = np.searchsorted(of[members], np.arange(len(first) + 1))
     sizes = np.diff(begin)
     u = c[first]
-    un, qn = np.linalg.norm(u, axis=1), np.linalg.norm(q, axis=1)
+    un, qn = _length(u), _length(q)
     a, sa, ea = _quantised(q / qn[:, None])
     b, sb, eb = _quantised(u / un[:, None])
-    near = (a.astype(np.float32) @ b.astype(np.float32).T).astype(np.float64) * sa[:, None] * sb
-    slack = ea[:, None] + eb * (1 + ea[:, None]) + 1e-9
     out = []
     for i in range(len(qid)):
+        if i % STRIP == 0:
+            strip = slice(i, i + STRIP)
+            near_of = _products(a[strip], b) * sa[strip, None] * sb
+            slack_of = ea[strip, None] + eb * (1 + ea[strip, None]) + 1e-9
+        near, slack = near_of[i % STRIP], slack_of[i % STRIP]
         # rows of the query's own id are no candidates, wherever they are
         own = of[np.searchsorted(cid, qid[i]) : np.searchsorted(cid, qid[i], "right")]
         counts = sizes - np.bincount(own, minlength=len(first))
-        low = np.where(counts > 0, near[i] - slack[i], -np.inf)
+        low = np.where(counts > 0, near - slack, -np.inf)
         rank = np.argsort(-low, kind="stable")[:k]
         enough = np.searchsorted(np.cumsum(counts[rank]), k)
         least = low[rank[enough]] if enough < len(rank) else -np.inf
-        at = np.flatnonzero((near[i] + slack[i] >= least) & (counts > 0))
-        score = np.add.reduce(q[i] * u[at], axis=1) / (qn[i] * un[at])
+        at = np.flatnonzero((near + slack >= least) & (counts > 0))
+        score = np.add.accumulate(q[i] * u[at], axis=1)[:, -1] / (qn[i] * un[at])
         found = []
         for s, j in zip(score.tolist(), at.tolist(), strict=True):
             ids = cid[members[begin[j] : begin[j + 1]]]
@@ -68,11 +86,12 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector:
 
     Vectors that are null, zero, of no component, or hold a null or non-finite one take no part, neither as query nor as row; vectors of
     another length than a query are no candidates of it. With fewer candidates than k all are returned. Ties go to the smaller id; rows
-    that repeat an id are candidates each on their own, but ask once, with the smallest of their vectors. Every block of queries meets every block of rows once, in a task of its own;
-    each tile gives its k best for a query, and those are merged.
+    that repeat an id are candidates each on their own, but ask once, with the smallest of their vectors; a null id takes no part. Every
+    block of queries meets every block of rows once, in a group of its own; each tile gives its k best for a query, and those are merged.
     """
-    ok = F.col(vector).isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(vector, lambda x: x != 0)
-    v = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), queries.alias("q")).withColumn("v", F.when(ok if vector == "v" else F.expr("v is not null and size(v) > 0 and not exists(v, x -> x is null or isnan(x) or abs(x) = double('inf')) and exists(v, x -> x <> 0)"), F.col("v"))).where("v is not null")
+    kind = "array<float>" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
+    v = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast(kind).alias("v"), queries.alias("q"))
+    v = v.where("size(v) > 0 and not exists(v, x -> x is null or isnan(x) or abs(x) = double('inf')) and exists(v, x -> x <> 0)")
     v = cut(v.withColumn("dim", F.size("v")))
     asked = v.where("q").groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
     n, m = v.agg(F.count(F.lit(1)), F.count_if("q")).first()
@@ -83,7 +102,7 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector:
     left = asked.select("id", "v", "dim", place(blocks).alias("b"), every(rows).alias("r"))
 
     def run(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
-        matrix = lambda t: t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
+        matrix = lambda t: t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(t.num_rows, -1)
         found = tile(x["id"].to_numpy(), matrix(x), y["id"].to_numpy(), matrix(y), k) if x.num_rows and y.num_rows else []
         ids, near, scores = zip(*found, strict=True) if found else ((), (), ())
         return pa.table({"query_id": pa.array(ids, pa.int64()), "id": pa.array(near, pa.int64()), "score": pa.array(scores, pa.float64())})
