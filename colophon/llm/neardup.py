@@ -1,6 +1,8 @@
-"""Near-duplicates by Jaccard similarity of 5-word shingles: candidates by bands of minhashes, each measured exactly.
+"""Near-duplicates by Jaccard similarity of 5-word shingles: candidates by SimHash and by bands of minhashes, each measured exactly.
 
-A pair is a candidate if all ROWS minhashes of one of BANDS bands agree. A pair of similarity 0.8, the least that counts, has no such
+The first candidates are texts whose SimHash fingerprints (of these shingles) the pigeonring links. Fingerprints of texts of similarity
+0.8 differ in about 10 of 64 bits, often in more, and with such a distance no segments prune anything; so bands of minhashes find the
+rest. A pair is a candidate there if all ROWS minhashes of one of BANDS bands agree. A pair of similarity 0.8, the least that counts, has no such
 band with probability (1 - 0.8**3)**24 = 3e-8; more similar ones are missed less often still. Candidates are linked only if the
 shingle sets themselves, made again from the texts, are similar enough.
 """
@@ -15,7 +17,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut
+from .common import components, cut, fresh
+from .simhash import links, majority
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -49,17 +52,18 @@ def row_hash(docs: DataFrame) -> Column:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, row, set, bands): the hash of the row, that of its shingle set, and the set's band keys (none without a word)."""
+    """(id, row, set, fp, bands): the hash of the row, that of its shingle set, and the set's fingerprint and band keys (none without a word)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t.as_py()) for t in b.column(2)]
             whole = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], "<u8").view("<i8")
             keys = pa.array([bands(s).view(np.int64) if len(s) else [] for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(whole), keys], ["id", "row", "set", "bands"])
+            fps = np.array([majority(s) for s in sets], "<u8").view("<i8")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(whole), pa.array(fps), keys], ["id", "row", "set", "fp", "bands"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), row_hash(docs).alias("row"), F.col(text).cast("binary").alias("t")).mapInArrow(run, f"id {kind}, row long, set long, bands array<long>")
+    return docs.select(F.col(id_col).alias("id"), row_hash(docs).alias("row"), F.col(text).cast("binary").alias("t")).mapInArrow(run, f"id {kind}, row long, set long, fp long, bands array<long>")
 
 
 def _alike(pairs: DataFrame, docs: DataFrame, own: DataFrame, text: str, similarity: float) -> DataFrame:
@@ -94,26 +98,28 @@ def _pair(x: str, y: str) -> list[Column]:
 def near_sets(docs: DataFrame, own: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(node, root): the components of all candidate pairs of sets that are similar enough; sets without one don't appear.
 
-    First every member of a block (the sets that share a band) is compared with one hub of that block. What is then left to find are
-    pairs of members that are not in one component yet: all of these are compared, so nothing is left out, and a large group of
-    near copies costs its size in comparisons, not its square.
+    First every set is compared with one hub of each block (the sets that share a fingerprint or a band) that it is in, and the hubs of
+    linked fingerprints with each other. What is then left to find are pairs of members of a band's block that are not in one component
+    yet: all of these are compared, so nothing is left out, and a large group of near copies costs its size in comparisons, not its square.
     """
-    sets = own.where(F.size("bands") > 0).groupBy("set").agg(F.first("bands").alias("bands"))
+    sets = own.where(F.size("bands") > 0).groupBy("set").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    prints = cut(sets.groupBy("fp").agg(F.min("set").alias("hub")))
+    hub_of = lambda name: prints.select(F.col("fp").alias(name), F.col("hub").alias(f"{name}_hub"))
+    linked = links(prints.select("fp")).join(hub_of("a"), "a").join(hub_of("b"), "b").select(*_pair("a_hub", "b_hub"))
+    same = sets.select("set", "fp").join(prints, "fp").where("set <> hub").select(*_pair("set", "hub"))
     keys = sets.select("set", F.posexplode("bands").alias("band", "key"))
     hub = F.min_by("set", F.xxhash64("set", "band")).alias("hub")
     blocks = keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), hub).where("n > 1")
     keys = cut(keys.join(blocks, ["band", "key"]))
-    tried = cut(keys.where("set <> hub").select(*_pair("set", "hub")).distinct())
+    tried = cut(keys.where("set <> hub").select(*_pair("set", "hub")).union(linked).union(same).distinct())
     found = cut(_alike(tried, docs, own, text, similarity))
     roots = cut(components(found))
-    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    of = roots.join(sizes, "root").select(F.col("node").alias("set"), "root", "size")
     # blocks of two are settled
-    left = keys.where("n > 2").select("band", "key", "set").join(of, "set", "left").select("band", "key", "set", F.coalesce("root", "set").alias("root"), F.coalesce("size", F.lit(1)).alias("size"))
-    left = cut(left)
-    open_ = left.groupBy("band", "key").agg(F.max(F.struct("size", "root")).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "key", F.col("m.root").alias("top"))
+    left = cut(keys.where("n > 2").select("band", "key", "set").join(roots, F.col("set") == F.col("node"), "left").select("band", "key", "set", F.coalesce("root", "set").alias("root")))
+    sizes = left.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("size"))
+    open_ = sizes.groupBy("band", "key").agg(F.max(F.struct("size", "root")).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "key", F.col("m.root").alias("top"))
     left = left.join(open_, ["band", "key"]).select("band", "key", "top", "set", "root")
-    # of two members apart, one at least is outside the block's largest component
+    # of two members apart, one at least is outside the component with the most members here
     out = left.where("root <> top").select("band", "key", F.col("set").alias("x"), F.col("root").alias("rx"))
     every = left.select("band", "key", "top", F.col("set").alias("y"), F.col("root").alias("ry"))
     rest = out.join(every, ["band", "key"]).where("rx <> ry and (ry = top or x < y)").select(*_pair("x", "y")).distinct()
@@ -131,5 +137,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     own = cut(signatures(docs, id_col, text))
     roots = near_sets(docs, own, text, similarity)
     best = own.groupBy("set").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"))
-    best = best.join(roots, F.col("set") == F.col("node"), "left").groupBy(F.coalesce("root", "set").alias("root")).agg(F.min("best").alias("best")).select(F.col("best.row").alias("_row"))
-    return docs.withColumn("_row", row_hash(docs)).join(best, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    best = best.join(roots, F.col("set") == F.col("node"), "left").groupBy(F.coalesce("root", "set").alias("root")).agg(F.min("best").alias("best"))
+    row = fresh(docs, "_row")[0]
+    best = best.select(F.col("best.row").alias(row))
+    return docs.withColumn(row, row_hash(docs)).join(best, row, "left_semi").dropDuplicates([row]).select(*(f"`{c}`" for c in docs.columns))

@@ -33,7 +33,11 @@ def fingerprint(text: bytes | None) -> int:
     if not w:
         return 0
     shingles = [b" ".join(w)] if len(w) < SHINGLE else map(b" ".join, zip(*(w[i:] for i in range(SHINGLE)), strict=False))
-    h = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], "<u8")
+    return majority(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], "<u8"))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of some 64-bit hashes."""
     ones = np.zeros(64, np.int64)
     for i in range(0, len(h), 65536):
         ones += np.unpackbits(h[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -86,13 +90,14 @@ def links(fps: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, fp, component_id): every document with the smallest id reachable over fingerprints that differ in at most two bits.
 
-    Null and empty texts have fingerprint 0 and are linked like any other; repeated rows stay and share a component; other columns
-    are not read. Equal fingerprints are one node from the start, however many documents have them.
+    Null and empty texts have fingerprint 0 and are linked like any other; repeated rows stay and share a component; a null id is larger
+    than any other, so a component has a null id only if all its ids are null; other columns are not read. Equal fingerprints are one
+    node from the start, named by the smallest of their ids, so the root of a component is its smallest id and nothing is joined by root.
     """
     own = cut(fingerprints(docs, id_col, text))
     nodes = cut(own.groupBy("fp").agg(F.min(id_col).alias("first")))
-    roots = cut(components(links(nodes.select("fp"))))
-    linked = roots.join(nodes, roots.node == nodes.fp)
-    least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = nodes.join(roots, nodes.fp == roots.node, "left").join(least, "root", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    node = lambda name: nodes.select(F.col("fp").alias(name), F.struct(F.col("first").isNull().alias("none"), "first", "fp").alias(f"{name}_node"))
+    edges = links(nodes.select("fp")).join(node("a"), "a").join(node("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    roots = components(edges).select(F.col("node.fp").alias("fp"), F.col("root.first").alias("root"))
+    of = nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "first").alias("component_id"))
     return own.join(of, "fp").select(id_col, "fp", "component_id")
