@@ -18,6 +18,8 @@ SEED = 17
 LEVELS, PASSES = 5, 5
 #: Source tables up to this many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 10_000
+#: Parts that sources are dealt to by their hash, so that their quotas are added up part by part.
+PARTS = 1024
 
 
 def permuted(seed: int, *parts: Column) -> Column:
@@ -33,7 +35,9 @@ def _part(share: Column, n: Column) -> Column:
 def source_shares(docs: DataFrame, source: str = "source", tokens: str = "n_tokens") -> DataFrame:
     """(source, rows, tokens, share) of each source with tokens; null is a source of its own."""
     own = docs.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("rows"), F.sum(tokens).cast("long").alias("tokens")).where("tokens > 0")
-    return own.withColumn("share", F.col("tokens") / F.sum("tokens").over(Window.partitionBy()))
+    own = cut(own)
+    total = own.agg(F.sum("tokens")).first()[0]
+    return own.withColumn("share", F.col("tokens") / F.lit(float(total or 1)))
 
 
 def fit_exponent(shares: DataFrame, max_repeat: float | None = MAX_REPEAT, target_entropy: float | None = None) -> float:
@@ -72,11 +76,26 @@ def fit_exponent(shares: DataFrame, max_repeat: float | None = MAX_REPEAT, targe
 
 
 def source_weights(shares: DataFrame, exponent: float, budget: int | None = None) -> DataFrame:
-    """shares with weight and quota (tokens to draw). Without a budget, the smallest one that draws every document at least once."""
-    w = Window.partitionBy()
-    out = shares.withColumn("_p", F.pow("share", F.lit(exponent))).withColumn("weight", F.col("_p") / F.sum("_p").over(w))
-    total = F.lit(budget).cast("double") if budget is not None else F.max(F.col("tokens") / F.col("weight")).over(w)
-    return out.withColumn("quota", F.round(F.col("weight") * total).cast("long")).drop("_p")
+    """shares with weight and quota (tokens to draw). Without a budget, the smallest one that draws every document at least once.
+
+    The quotas of a budget add up to it: each is the difference of two neighbouring sums of weights, both rounded. Sources are dealt to
+    parts by hash, and only the parts, a fixed number, are put in order as a whole.
+    """
+    p = F.pow("share", F.lit(exponent))
+    z = shares.agg(F.sum(p)).first()[0] or 1.0
+    out = shares.withColumn("weight", p / F.lit(z))
+    if budget is None:
+        total = out.agg(F.max(F.col("tokens") / F.col("weight"))).first()[0] or 0.0
+        return out.withColumn("quota", F.greatest(F.round(F.col("weight") * total).cast("long"), F.col("tokens")))
+    # whole numbers, so that sums don't depend on their order
+    units = F.greatest(F.round(F.col("weight") * float(1 << 50)).cast("long"), F.lit(1).cast("long"))
+    out = cut(out.withColumns({"_h": F.xxhash64("source"), "_units": units}).withColumn("_part", F.pmod("_h", F.lit(PARTS))))
+    parts = out.groupBy("_part").agg(F.sum("_units").alias("_n"))
+    parts = cut(parts.select("_part", "_n", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before")))
+    all_ = float(parts.agg(F.sum("_n")).first()[0] or 1)
+    x = out.join(F.broadcast(parts), "_part").withColumn("_end", F.col("_before") + F.sum("_units").over(Window.partitionBy("_part").orderBy("_h", "source").rowsBetween(Window.unboundedPreceding, 0)))
+    place = lambda c: F.round(c / F.lit(all_) * budget).cast("long")
+    return x.withColumn("quota", place(F.col("_end")) - place(F.col("_end") - F.col("_units"))).select(*shares.columns, "weight", "quota")
 
 
 def draw(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", max_repeat: float | None = MAX_REPEAT, target_entropy: float | None = None, budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -92,8 +111,8 @@ def draw(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text:
     d = cut(d)
     shares = cut(source_shares(d))
     weights = cut(source_weights(shares, fit_exponent(shares, max_repeat, target_entropy), budget).withColumn("slices", F.ceil(F.col("rows") / slice_rows)).drop("rows", "share"))
-    n_blocks = F.greatest(F.ceil(F.sum("quota").over(Window.partitionBy()) / block_tokens), F.lit(1))
-    weights = weights.withColumn("blocks", n_blocks).withColumnRenamed("source", "s")
+    quota = weights.agg(F.sum("quota")).first()[0] or 0
+    weights = weights.withColumn("blocks", F.lit(max(1, -(-quota // block_tokens)))).withColumnRenamed("source", "s")
     small = F.broadcast(weights) if weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else weights
     epochs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1) / F.col("tokens")))
     x = d.join(small, F.col("source").eqNullSafe(F.col("s"))).where("quota > 0").drop("s").withColumn("epoch", F.explode(epochs))
