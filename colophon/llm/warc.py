@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -16,15 +17,18 @@ from .common import cut, scratch
 #: A range read is at most this long, unless one record is longer; records closer than GAP bytes are read together.
 RANGE, GAP = 8 << 20, 1 << 16
 DATE = "2000-01-01T00:00:00Z"
+#: Payloads that occur more than once, up to which number their list is broadcast: a digest of 40 characters and an id each.
+SMALL = 200_000
 INDEX = "file string, offset long, length long, url string, payload_digest string, page_id long, record_type string"
 
 
-def record(page: int, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(page: int | None, url: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One gzip member with a response, or a revisit without its payload; both keep the HTTP head with the payload's length."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head if refers_to is not None else head + payload
     kind = "response" if refers_to is None else "revisit"
-    fields = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}"]
+    name = f"urn:page:{page}" if page is not None else f"urn:uuid:{uuid.uuid4()}"
+    fields = [f"WARC-Type: {kind}", f"WARC-Record-ID: <{name}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}"]
     if refers_to is not None:
         fields += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
     fields += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
@@ -44,19 +48,20 @@ def write(pages: DataFrame, folder: str, least: int = 0, id_col: str = "page_id"
     """Write a record for each page into archives under folder (a URI that every executor reaches) and return their index.
 
     Of records with equal payloads of at least `least` bytes, that with the largest id is the response and the others are revisits of
-    it. Null html is an empty payload, a null url an empty one; equal ids with equal payloads are all responses. A task writes one
-    archive under a name of its own; the index, written as a table, names only the archives of the attempts that counted.
+    it. Null html is an empty payload, a null url an empty one; equal ids with equal payloads are all responses; a null id is smaller than
+    any other, and a record without an id is named by a UUID. Pages are shuffled by digest only if more than SMALL payloads occur more than
+    once; the list of those is broadcast otherwise. A task writes one archive under a name of its own; the index, written as a table, names only the archives of the attempts that counted.
     """
     size = F.octet_length(F.coalesce(F.col(html), F.lit("")))
     digest = F.sha1(F.coalesce(F.col(html), F.lit("")).cast("binary"))
     keys = pages.select(digest.alias("d"), F.col(id_col).alias("p"), size.alias("n"))
     first = keys.where(F.col("n") >= least).groupBy("d").agg(F.max("p").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     x = pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("html"), digest.alias("d"))
-    x = x.join(first, "d", "left").select("page_id", "url", "html", "d", F.when(F.col("_first") > F.col("page_id"), F.col("_first")).alias("refers_to"))
+    first = cut(first)
+    x = x.join(F.broadcast(first) if first.limit(SMALL + 1).count() <= SMALL else first, "d", "left")
+    x = x.select("page_id", "url", "html", "d", F.when(F.col("page_id").isNull() | (F.col("_first") > F.col("page_id")), F.col("_first")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         import pyarrow.fs
 
         fs, root = pyarrow.fs.FileSystem.from_uri(folder)
@@ -110,7 +115,8 @@ def read(index: DataFrame, folder: str, where: Column | None = None) -> DataFram
                 if kind == "response" and (size != len(payload) or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
                     raise ValueError(f"damaged record at {file}:{at}")
                 refers = fields.get("warc-refers-to")
-                rows.append((int(fields["warc-record-id"].strip("<>").rpartition(":")[2]), size, digest, kind, refers and int(refers.strip("<>").rpartition(":")[2]), fields["warc-target-uri"], payload if kind == "response" else None))
+                page = fields["warc-record-id"].strip("<>").removeprefix("urn:page:")
+                rows.append((int(page) if page.lstrip("-").isdigit() else None, size, digest, kind, refers and int(refers.strip("<>").rpartition(":")[2]), fields["warc-target-uri"], payload if kind == "response" else None))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
         wait: list[tuple[str, int, int]] = []
