@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, words
+from .common import cut, fresh, words
 
 #: Leading tokens that, with the number of tokens, lead to a leaf of the tree.
 DEPTH = 3
@@ -69,7 +69,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", dep
     first document unless they in turn agree with an earlier line, so the first line of a kind always stays.
 
     Lines are separated by \n; lines under min_tokens are compared whole, digits and all, and blank ones always stay. A null text stays
-    null and an emptied one is ''. Lines that repeat only within one document stay; rows with the same id count as one document. Equal
+    null and an emptied one is ''. Lines that repeat only within one document stay; rows with the same id count as one document; a
+    row with a null id keeps all its lines, and is no earlier document to any other. Equal
     lines are one row before any comparison, and joins back to the lines are on a unique key, so that a line of a third of all documents
     can be split among tasks.
     """
@@ -80,11 +81,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", dep
     template = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("first")).where("n > 1").select("key", "first")
     earlier = keys.join(template, "key").where(F.col("first") < F.col("lo")).groupBy("line").agg(F.min("first").alias("first"))
     first = kinds.select("line", "lo", "hi").join(earlier, "line", "left").select("line", "hi", F.coalesce("first", "lo").alias("first")).where(F.col("first") < F.col("hi")).select("line", "first")
-    dropped = lines.join(first, "line").where(F.col("doc") > F.col("first")).groupBy("doc", "h").agg(F.collect_set("pos").alias("_gone"))
-    dropped = dropped.select(F.col("doc").alias("_doc"), F.col("h").alias("_h"), "_gone")
-    out = docs.join(dropped, (F.col(id_col) == F.col("_doc")) & (F.xxhash64(text) == F.col("_h")), "left")
-    out = out.withColumn("_parts", F.split(text, "\n", -1))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), "_gone")
-    clean = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(F.get(F.transform(F.array("_parts"), lambda parts: F.transform(kept, lambda i: F.get(parts, i))), 0), "\n"))
-    n = F.when(F.col(text).isNull(), 0).otherwise(F.size("_parts")).cast("long")
-    return out.withColumns({text: clean, "n_lines": n, "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")}).drop("_doc", "_h", "_gone", "_parts")
+    # names that no column of docs has, nor the two new ones
+    doc, h, gone, parts = fresh(docs, "_doc", "_h", "_gone", "_parts")
+    dropped = lines.join(first, "line").where(F.col("doc") > F.col("first")).groupBy(F.col("doc").alias(doc), F.col("h").alias(h)).agg(F.collect_set("pos").alias(gone))
+    out = docs.join(dropped, (F.col(id_col) == F.col(doc)) & (F.xxhash64(text) == F.col(h)), "left")
+    out = out.withColumn(parts, F.split(text, "\n", -1))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone)
+    clean = F.when(F.col(gone).isNull(), F.col(text)).otherwise(F.array_join(F.get(F.transform(F.array(parts), lambda own: F.transform(kept, lambda i: F.get(own, i))), 0), "\n"))
+    n = F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("long")
+    return out.withColumns({text: clean, "n_lines": n, "n_dropped": F.coalesce(F.size(gone), F.lit(0)).cast("long")}).drop(doc, h, gone, parts)
