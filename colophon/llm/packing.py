@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import re
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -22,71 +25,91 @@ GROUP = 1 << 21
 #: Tokens of a step.
 STEP = 1 << 16
 #: Distinct words whose ids a task remembers before it starts anew.
-CACHE = 400_000
+CACHE = 700_000
+#: The tokenizer's way of splitting that WordIds relies on (fixed values); texts of other tokenizers are encoded whole.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
-class WordIds:
-    """Token ids of whole texts, as little-endian uint32 bytes, by a tokenizer that marks the ends of words with </w> and drops white space.
+def byte_chars() -> dict[int, int]:
+    """Byte-level tokenizers write a byte as a character: printable ones as they are, the others as those from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
 
-    Each distinct word is encoded once; a text is the join of its words. Words of letters only are one word to the tokenizer too, so many
-    are encoded in one call and told apart by their end marks; a full stop or comma after such a word is a word of its own.
+
+class WordIds(dict):
+    """Token ids of words, as little-endian uint32 bytes, each word encoded once; a text is the join of its words.
+
+    That holds for tokenizers that split at white space and drop it, which the file's own description tells; texts are encoded whole
+    with any other. A word of letters, in normal form and lower case, is one piece to the tokenizer, so it goes to its merges directly;
+    a full stop or comma after such a word is a piece of its own. All other words are encoded as texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-
-    def _each(self, part: list[str]) -> None:
-        for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-
-    def _learn(self, new: set[str]) -> None:
-        odd, stems = [w for w in ".," if w not in self.known], {}
-        for w in new:
-            stem = w[:-1] if w[-1] in ".," else w
-            if stem.isalpha():
-                stems[w] = stem.lower() if stem.isascii() else stem
-            else:
-                odd.append(w)
-        plain = list({s for s in stems.values() if s not in self.known})
-        for i in range(0, len(plain), 64):
-            part = plain[i : i + 64]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            at = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(at) == len(part) and at[-1] == len(ids):
-                raw = ids.tobytes()
-                self.known.update((w, raw[4 * x : 4 * y]) for w, x, y in zip(part, [0, *at], at, strict=False))
-            else:
-                self._each(part)
-        for i in range(0, len(odd), 20_000):
-            self._each(odd[i : i + 20_000])
-        for w, s in stems.items():
-            self.known[w] = self.known[s] + (self.known[w[-1]] if w[-1] in ".," else b"")
+        self.model, self.table = self.tokenizer.model, byte_chars()
+        made = json.loads(self.tokenizer.to_str())
+        steps, split = made["normalizer"] or {}, made["pre_tokenizer"] or {}
+        first, *rest = split.get("pretokenizers") or [{}]
+        self.by_words = steps.get("normalizers") == NORMALIZERS and first.get("pattern") == {"Regex": WORD_PATTERN} and first.get("behavior") == "Removed" and first.get("invert") is True and [(x["type"], x.get("use_regex"), x.get("add_prefix_space")) for x in rest] == [("ByteLevel", False, False)]
+        self.marks = {m: self.whole(m) for m in ".,"}
+
+    def whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def letters(self, word: str) -> str | None:
+        """A word of letters in the form that the tokenizer makes of it; None if that isn't letters alone."""
+        if word.isascii():
+            return word.lower() if word.isalpha() else None
+        if not word.isalpha():
+            return None
+        plain = "".join(c.lower() for c in unicodedata.normalize("NFC", word))
+        return plain if plain.isalpha() and unicodedata.is_normalized("NFC", plain) else None
+
+    def __missing__(self, word: str) -> bytes:
+        stem = word[:-1] if len(word) > 1 and word[-1] in self.marks else word
+        plain = self.letters(stem)
+        if plain is None:
+            ids = self.whole(word)
+        elif stem is not word:
+            ids = self[stem] + self.marks[word[-1]]
+        elif plain != word:
+            ids = self[plain]
+        else:
+            found = self.model.tokenize(plain if plain.isascii() else plain.encode().decode("latin-1").translate(self.table))
+            ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        self[word] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE:
-            self.known.clear()
-        # str.split() also splits at the separators x1c to x1f, which are no white space to the tokenizer
-        split = [BLANK.split(t.strip(BLANKS)) if any(c in t for c in "\x1c\x1d\x1e\x1f") and t.strip(BLANKS) else t.split() for t in texts]
-        self._learn({w for ws in split for w in ws if w not in self.known})
-        get, end = self.known.__getitem__, np.array([END_ID], "<u4").tobytes()
-        return [b"".join(map(get, ws)) + end for ws in split]
-
-
-def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
-    """Windows (size, [(document, start, length), ...]) of documents of these lengths; every token is in exactly one piece.
+        end = struct.pack("<I", END_ID)
+        if not self.by_words:
+            return [np.array(e.ids, "<u4").tobytes() + end for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if len(self) > CACHE:
+            self.clear()
+        get, out = self.__getitem__, []
+        for t in texts:
+            # str.split() also splits at the separators x1c to x1f, which are no white space to the tokenizer
+            own = BLANK.split(t.strip(BLANKS)) if any(c in t for c in "\x1c\x1d\x1e\x1f") and t.strip(BLANKS) else t.split()
+            out.append(b"".join(map(get, own)) + end)
+        return out
+
+
+def fill(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> tuple[list[tuple[int, list[tuple[int, int, int]]]], list[tuple[int, int, int]]]:
+    """Full windows (size, [(document, start, length), ...]) of documents of these lengths, and the pieces of the one that stays open.
 
     A document is routed to the smallest tier that holds it; longer ones give full windows of the last tier first and route what
     remains. The tiers are packed from the longest down, best fit by decreasing length. What a window has left over is filled
     from the shorter tiers, the last document that fits the gap whole or, if none is that short, a part of the next one, whose rest
-    goes on to its own tier. Only when every document is used up can a window stay open; it is then cut into powers of two.
+    goes on to its own tier. Only when every document is used up can a window stay open.
     """
     top = tiers[-1]
+    rest_of: list[tuple[int, int, int]] = []
     out: list[tuple[int, list[tuple[int, int, int]]]] = []
     pools: dict[int, list[tuple[int, int, int]]] = {t: [] for t in tiers}
 
@@ -125,8 +148,14 @@ def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int,
             if not gap:
                 out.append((tier, window))
             else:
-                out.extend(_powers(window))
-    return out
+                rest_of = window
+    return out, rest_of
+
+
+def pack(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
+    """As fill, with the open window cut into powers of two: every token is in exactly one piece, and nothing is padded."""
+    full, rest = fill(lengths, tiers)
+    return full + _powers(rest)
 
 
 def _last_fit(pool: list[tuple[int, int, int]], gap: int) -> int:
@@ -160,8 +189,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
 
     tokenizer is the path of a tokenizers file at every worker. With ids the pieces also carry their token ids. A null text is empty
     and still has its end id. Rows are packed where they are read, in groups of about GROUP tokens, so nothing is shuffled and a task
-    holds one group; sequences are numbered by task and group. A step has STEP tokens of sequences of one size, but for each
-    group's last step of a size. Repeated rows are packed each on its own; other columns are not read.
+    holds one group; sequences are numbered by task and group. What a group leaves in an open window goes on to the next one; only a
+    task's last open window is cut into powers of two. A step has STEP tokens of sequences of one size, but for each group's last step
+    of a size. Repeated rows are packed each on its own; other columns are not read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -169,15 +199,17 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
         from pyspark import TaskContext
 
         base, words = TaskContext.get().partitionId() << 36, WordIds(tokenizer)
-        keys: list = []
-        parts: list[bytes] = []
+        # (id, tokens before it, tokens of the whole document, token ids) of each part that waits
+        parts: list[tuple] = []
         held, group = 0, 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, group
-            lengths = [len(p) // 4 for p in parts]
-            windows = sorted(enumerate(pack(lengths, tiers)), key=lambda x: (-x[1][0], x[0]))
-            rows: dict[str, list] = {k: [] for k in ("d", "start", "length", "crc", "total", "seq", "at", "n", "tier", "step", "ids")}
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held, group, parts
+            windows, rest = fill([len(p[3]) // 4 for p in parts], tiers)
+            if last:
+                windows, rest = windows + _powers(rest), []
+            windows = sorted(enumerate(windows), key=lambda x: (-x[1][0], x[0]))
+            rows: dict[str, list] = {k: [] for k in ("id", "start", "length", "crc", "total", "seq", "at", "n", "tier", "step", "ids")}
             step, room, size = -1, 0, 0
             first = base + (group << 22)
             for seq, (_, (tokens, pieces)) in enumerate(windows):
@@ -186,35 +218,31 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                 room -= tokens
                 at = 0
                 for d, s, n in pieces:
-                    own = parts[d][4 * s : 4 * (s + n)]
-                    for k, v in zip(rows, (d, s, n, zlib.crc32(own), lengths[d], first + seq, at, tokens, next((t for t in tiers if t >= tokens)), first + step, own if ids else None), strict=True):
+                    doc, before, total, raw = parts[d]
+                    own = raw[4 * s : 4 * (s + n)]
+                    for k, v in zip(rows, (doc, before + s, n, zlib.crc32(own), total, first + seq, at, tokens, next(t for t in tiers if t >= tokens), first + step, own if ids else None), strict=True):
                         rows[k].append(v)
                     at += n
+            parts = [(parts[d][0], parts[d][1] + s, parts[d][2], parts[d][3][4 * s : 4 * (s + n)]) for d, s, n in rest]
             group, held = group + 1, 0
-            arrays = [keys_of(rows["d"]), *(pa.array(rows[k], pa.int64()) for k in list(rows)[1:-1])]
+            arrays = [pa.array(rows["id"], id_type), *(pa.array(rows[k], pa.int64()) for k in list(rows)[1:-1])]
             names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "sequence_tokens", "tier", "step_id"]
             if ids:
                 arrays, names = [*arrays, pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in rows["ids"]], pa.list_(pa.int32()))], [*names, "ids"]
-            keys.clear()
-            parts.clear()
             yield pa.RecordBatch.from_arrays(arrays, names)
 
         id_type: pa.DataType | None = None
-
-        def keys_of(at: list[int]) -> pa.Array:
-            return pa.array([keys[i] for i in at], id_type)
-
         for b in batches:
             id_type = b.schema.field(0).type
             for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                parts += (new := words.encode([t or "" for t in part.column(1).to_pylist()]))
-                keys += part.column(0).to_pylist()
+                rows = b.slice(lo, 256)
+                new = words.encode([t or "" for t in rows.column(1).to_pylist()])
+                parts += [(d, 0, len(raw) // 4, raw) for d, raw in zip(rows.column(0).to_pylist(), new, strict=True)]
                 held += sum(map(len, new)) // 4
                 if held >= GROUP:
-                    yield from flush()
+                    yield from flush(False)
         if parts:
-            yield from flush()
+            yield from flush(True)
 
     more = ", ids array<int>" if ids else ""
     return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, tier long, step_id long{more}")
