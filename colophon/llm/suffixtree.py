@@ -31,7 +31,7 @@ LEAST = 2
 #: Bits that a context must save, the weight of its parent in smoothing, and what is taken off each count for unseen words.
 GAIN, PRIOR, DISCOUNT = 8.0, 2.0, 0.5
 #: Tokens of a chunk at least: what a task holds at once. Blocks go from each chunk to each bucket, so larger corpora want larger chunks.
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_200_000
 ADD = 0.1
 #: Bits of an n-gram's hash that are kept, and units of a bit in sums.
 KEY_BITS, UNIT = 56, 1024
@@ -102,18 +102,28 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
 class Grams:
     """The n-grams of one order in a chunk: keys are the different ones, sorted.
 
-    at: places of a chunk where one ends; of: for each of these, its number among the keys; one: for each key, a place where it ends; own:
-    occurrences in the chunk's training documents; asked: whether its count is wanted; n, first: its count in the corpus and whether
+    at: places of a chunk where one ends; of: for each of these, its number among the keys; place: the same for each place of the chunk, -1
+    where none ends; one: for each key, a place where it ends; own: occurrences in the chunk's training documents; asked: whether its count is wanted; n, first: its count in the corpus and whether
     this chunk is the one that reports it; p: its last word's probability after the others.
     """
 
-    def __init__(self, full: np.ndarray, at: np.ndarray, train: np.ndarray):
-        self.at, self.full = at, full
-        self.keys, one, self.of = np.unique(full[at] >> np.uint64(64 - KEY_BITS), return_index=True, return_inverse=True)
-        self.one = at[one]
-        self.own = np.bincount(self.of[train[at]], minlength=len(self.keys))
-        self.place = np.full(len(full), -1, np.int64)
-        self.place[at] = self.of
+    def __init__(self, keys: np.ndarray, at: np.ndarray | None, train: np.ndarray, of: np.ndarray | None = None):
+        """keys: of each place in at; or the different keys, and for each place of the chunk its number among them."""
+        if of is None:
+            order = np.argsort(keys)
+            keys = keys[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[1:] != keys[:-1]
+            self.keys, self.one = keys[new], at[order[new]]
+            self.of = np.empty(len(order), np.int32)
+            self.of[order] = np.cumsum(new, dtype=np.int32) - 1
+            self.place = np.full(len(train), -1, np.int32)
+            self.place[at] = self.of
+            train = train[at]
+        else:
+            self.keys, self.of, self.place = keys, of, of
+        self.at = at
+        self.own = np.bincount(self.of[train], minlength=len(self.keys))
         self.asked = np.ones(len(self.keys), bool)
         self.n = self.first = self.p = None
 
@@ -125,30 +135,32 @@ class Chunk:
         tokens = np.frombuffer(zstandard.decompress(row["tokens"]), np.uint32)
         self.sizes, self.tag = np.array(row["sizes"], np.int64), row["tag"]
         self.starts = np.cumsum(self.sizes) - self.sizes
-        h = np.frombuffer(row["words"], np.uint64)[tokens]
+        words = np.frombuffer(row["words"], np.uint64)
         train = np.repeat(~np.array(row["held_out"], bool), self.sizes)
-        inside = np.ones(len(h), bool)
+        inside = np.ones(len(tokens), bool)
         inside[self.starts] = False
         norm = total + ADD * (distinct + 1)
-        full = h
+        full = last = words[tokens]
+        drop = np.uint64(64 - KEY_BITS)
         self.grams: list[Grams] = []
         for k in range(1, depth + 2):
-            at = np.arange(len(h)) if k == 1 else np.flatnonzero(inside)
-            if k > 1:
+            if k == 1:
+                keys, number = np.unique(words >> drop, return_inverse=True)
+                g = Grams(keys, None, train, number.astype(np.int32)[tokens])
+            else:
+                low = self.grams[-1]
+                at = np.flatnonzero(inside).astype(np.int32)
                 if k > 2:
                     # a context that occurs less often than counts has no node
-                    low = self.grams[-1]
-                    at = at[np.where(low.place[at - 1] >= 0, low.n[low.place[at - 1]] >= LEAST, False)]
-                mixed = np.zeros(len(h), np.uint64)
-                mixed[1:] = (full[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) * np.uint64(0xBF58476D1CE4E5B9)
-                full = mixed ^ (mixed >> np.uint64(29))
-            g = Grams(full, at, train)
-            self.grams.append(g)
-            if k > 1:
-                low = self.grams[-2]
+                    context = low.place[at - 1]
+                    at = at[np.where(context >= 0, low.n[context] >= LEAST, False)]
+                mixed = (full[:-1] * np.uint64(0x9E3779B97F4A7C15) + last[1:]) * np.uint64(0xBF58476D1CE4E5B9)
+                full = np.concatenate([last[:1], mixed ^ (mixed >> np.uint64(29))])
+                g = Grams(full[at] >> drop, at, train)
                 g.context, g.tail = low.place[g.one - 1], low.place[g.one]
                 if k > 2:
                     g.asked = low.n[g.tail] >= LEAST
+            self.grams.append(g)
             if 2 * k not in replies:
                 if k == 1:  # words and pairs are asked for together
                     continue
@@ -158,8 +170,9 @@ class Chunk:
             if k == 1:
                 g.p = (g.n + ADD) / norm
                 continue
-            g.nodes = np.unique(g.context)
-            g.nodes = g.nodes[low.n[g.nodes] >= LEAST]
+            follows = np.zeros(len(low.keys), bool)
+            follows[g.context] = True
+            g.nodes = np.flatnonzero(follows & (low.n >= LEAST))
             if 2 * k + 1 not in replies:
                 continue
             seen, kinds = np.zeros((2, len(low.keys)))
@@ -255,7 +268,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     kind = docs.schema[id_col].dataType.simpleString()
     made = bucketed(chunks(docs, held_out, id_col, text, chunk_tokens), "tag")
     n, total = made.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
-    bits = max(6, (n // 4).bit_length())
+    bits = max(6, (n // 2).bit_length())
     coded = made.select("tag", "held_out", "sizes", "tokens", "words")
 
     def send(c: Chunk, round_: int) -> pa.Table:
