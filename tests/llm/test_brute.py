@@ -46,8 +46,8 @@ def brute_ratio(docs, trusted):
     long_ = lambda x, seed: xxhash.xxh64_intdigest(struct.pack("<q", x), seed)
 
     def grams(t):
-        w = words(t)
-        return [number(single(x)) for x in w] + [number(xxhash.xxh64_intdigest(b.encode(), long_(signed(single(a)), 42))) for a, b in zip(w, w[1:], strict=False)]
+        h = [signed(single(x)) for x in words(t)]
+        return [x % quality.BUCKETS for x in h] + [number(long_(b, long_(a, 42))) for a, b in zip(h, h[1:], strict=False)]
 
     held = {d for d in trusted if signed(xxhash.xxh64_intdigest(struct.pack("<i", 1), long_(d, 42))) % quality.HOLD == 0}
     raw, target = Counter(), Counter()
