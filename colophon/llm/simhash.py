@@ -99,5 +99,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     node = lambda name: nodes.select(F.col("fp").alias(name), F.struct(F.col("first").isNull().alias("none"), "first", "fp").alias(f"{name}_node"))
     edges = links(nodes.select("fp")).join(node("a"), "a").join(node("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     roots = components(edges).select(F.col("node.fp").alias("fp"), F.col("root.first").alias("root"))
-    of = nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "first").alias("component_id"))
+    # written, so that the join is of two plain tables and a fingerprint of many documents can be split among tasks
+    of = cut(nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "first").alias("component_id")))
     return own.join(of, "fp").select(id_col, "fp", "component_id")
