@@ -56,6 +56,11 @@ def cut(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """df to be broadcast if it has at most so many rows; else as it is, and joined by a shuffle. df is counted: cut it before."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like these that df doesn't have, in any case of letters."""
     taken, out = {c.lower() for c in df.columns}, []

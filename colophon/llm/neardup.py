@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, fresh
+from .common import components, cut, fresh, small
 from .simhash import links, majority
 
 SHINGLE = 5
@@ -66,13 +66,22 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     return docs.select(F.col(id_col).alias("id"), row_hash(docs).alias("row"), F.col(text).cast("binary").alias("t")).mapInArrow(run, f"id {kind}, row long, set long, fp long, bands array<long>")
 
 
-def _alike(pairs: DataFrame, docs: DataFrame, own: DataFrame, text: str, similarity: float) -> DataFrame:
-    """The pairs (a, b) of sets whose similarity is high enough."""
+def _texts(wanted: DataFrame, docs: DataFrame, own: DataFrame, text: str) -> DataFrame:
+    """(set, s): the shingles, made again from a text, of each wanted set."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t.as_py()).tobytes() for t in b.column(1)], pa.binary())], ["set", "s"])
 
+    # one row of each set, and one of rows that repeat it
+    rows = cut(own.groupBy("set").agg(F.min("row").alias("row")).join(wanted, "set", "left_semi"))
+    texts = docs.select(row_hash(docs).alias("row"), F.col(text).cast("binary").alias("t")).join(small(rows), "row").select("set", "t").dropDuplicates(["set"])
+    return cut(texts.mapInArrow(sets, "set long, s binary"))
+
+
+def _alike(pairs: DataFrame, docs: DataFrame, own: DataFrame, text: str, similarity: float) -> DataFrame:
+    """The pairs (a, b) of sets whose similarity is high enough."""
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = []
@@ -82,15 +91,25 @@ def _alike(pairs: DataFrame, docs: DataFrame, own: DataFrame, text: str, similar
                 ok.append(both >= similarity * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-    # one row of each set, and one of rows that repeat it
-    rows = own.groupBy("set").agg(F.min("row").alias("row")).join(wanted, "set", "left_semi")
-    texts = docs.select(row_hash(docs).alias("row"), F.col(text).cast("binary").alias("t")).join(rows, "row").select("set", "t").dropDuplicates(["set"])
-    s = cut(texts.mapInArrow(sets, "set long, s binary"))
+    s = _texts(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), docs, own, text)
     sides = pairs.join(s.select(F.col("set").alias("a"), F.col("s").alias("x")), "a").join(s.select(F.col("set").alias("b"), F.col("s").alias("y")), "b")
     return sides.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long")
 
 
+def _shared(sets: DataFrame) -> DataFrame:
+    """(set, size, shared) of sets (set, s): the number of shingles, and of those that another of these sets has too."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, v in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                h = np.frombuffer(v.as_buffer(), "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k)), pa.array(h)], ["set", "h"])
+
+    alone = sets.mapInArrow(each, "set long, h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("set").alias("set")).where("n = 1").groupBy("set").agg(F.count(F.lit(1)).alias("alone"))
+    size = (F.octet_length("s") / 8).cast("long")
+    return sets.select("set", size.alias("size")).join(alone, "set", "left").select("set", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -99,8 +118,11 @@ def near_sets(docs: DataFrame, own: DataFrame, text: str = "text", similarity: f
     """(node, root): the components of all candidate pairs of sets that are similar enough; sets without one don't appear.
 
     First every set is compared with one hub of each block (the sets that share a fingerprint or a band) that it is in, and the hubs of
-    linked fingerprints with each other. What is then left to find are pairs of members of a band's block that are not in one component
-    yet: all of these are compared, so nothing is left out, and a large group of near copies costs its size in comparisons, not its square.
+    linked fingerprints with each other. A band's hub is the member with the largest blocks altogether: the text that its near copies
+    have most in common with. What is then left to find are pairs of members of a band's block that are not in one component yet. A set
+    is part of none if too many of its shingles stand in no other set that is left; of the others those pairs are compared that their
+    sizes, and the numbers of their shingles that others have too, leave possible. So no link is left out, and a large group of near
+    copies costs about its size in comparisons, not its square.
     """
     sets = own.where(F.size("bands") > 0).groupBy("set").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     prints = cut(sets.groupBy("fp").agg(F.min("set").alias("hub")))
@@ -108,9 +130,11 @@ def near_sets(docs: DataFrame, own: DataFrame, text: str = "text", similarity: f
     linked = links(prints.select("fp")).join(hub_of("a"), "a").join(hub_of("b"), "b").select(*_pair("a_hub", "b_hub"))
     same = sets.select("set", "fp").join(prints, "fp").where("set <> hub").select(*_pair("set", "hub"))
     keys = sets.select("set", F.posexplode("bands").alias("band", "key"))
-    hub = F.min_by("set", F.xxhash64("set", "band")).alias("hub")
-    blocks = keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), hub).where("n > 1")
-    keys = cut(keys.join(blocks, ["band", "key"]))
+    blocks = cut(keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    keys = cut(keys.join(small(blocks), ["band", "key"]))
+    weight = cut(keys.groupBy("set").agg(F.sum("n").alias("w")))
+    heavy = keys.join(weight, "set").groupBy("band", "key").agg(F.max_by("set", F.struct("w", F.xxhash64("set"))).alias("hub"))
+    keys = keys.join(small(cut(heavy)), ["band", "key"])
     tried = cut(keys.where("set <> hub").select(*_pair("set", "hub")).union(linked).union(same).distinct())
     found = cut(_alike(tried, docs, own, text, similarity))
     roots = cut(components(found))
@@ -118,11 +142,14 @@ def near_sets(docs: DataFrame, own: DataFrame, text: str = "text", similarity: f
     left = cut(keys.where("n > 2").select("band", "key", "set").join(roots, F.col("set") == F.col("node"), "left").select("band", "key", "set", F.coalesce("root", "set").alias("root")))
     sizes = left.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("size"))
     open_ = sizes.groupBy("band", "key").agg(F.max(F.struct("size", "root")).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "key", F.col("m.root").alias("top"))
-    left = left.join(open_, ["band", "key"]).select("band", "key", "top", "set", "root")
+    left = cut(left.join(open_, ["band", "key"]).select("band", "key", "top", "set", "root"))
+    known = cut(_shared(_texts(left.select("set").distinct(), docs, own, text)).where(F.col("shared") >= similarity * F.col("size")))
+    left = left.join(known, "set")
     # of two members apart, one at least is outside the component with the most members here
-    out = left.where("root <> top").select("band", "key", F.col("set").alias("x"), F.col("root").alias("rx"))
-    every = left.select("band", "key", "top", F.col("set").alias("y"), F.col("root").alias("ry"))
-    rest = out.join(every, ["band", "key"]).where("rx <> ry and (ry = top or x < y)").select(*_pair("x", "y")).distinct()
+    side = lambda df, x: df.select("band", "key", "top", F.col("set").alias(x), F.col("root").alias(f"r{x}"), F.col("size").alias(f"n{x}"), F.col("shared").alias(f"s{x}"))
+    out, every = side(left.where("root <> top"), "x").drop("top"), side(left, "y")
+    possible = F.least("sx", "sy") * (1 + similarity) >= similarity * (F.col("nx") + F.col("ny"))
+    rest = out.join(every, ["band", "key"]).where("rx <> ry and (ry = top or x < y)").where(possible).select(*_pair("x", "y")).distinct()
     rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
     return components(found.union(_alike(rest, docs, own, text, similarity)))
 

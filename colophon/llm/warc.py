@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, scratch
+from .common import cut, scratch, small
 
 #: A range read is at most this long, unless one record is longer; records closer than GAP bytes are read together.
 RANGE, GAP = 8 << 20, 1 << 16
@@ -58,7 +58,7 @@ def write(pages: DataFrame, folder: str, least: int = 0, id_col: str = "page_id"
     first = keys.where(F.col("n") >= least).groupBy("d").agg(F.max("p").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     x = pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("html"), digest.alias("d"))
     first = cut(first)
-    x = x.join(F.broadcast(first) if first.limit(SMALL + 1).count() <= SMALL else first, "d", "left")
+    x = x.join(small(first, SMALL), "d", "left")
     x = x.select("page_id", "url", "html", "d", F.when(F.col("page_id").isNull() | (F.col("_first") > F.col("page_id")), F.col("_first")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
