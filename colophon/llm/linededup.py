@@ -75,7 +75,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", dep
     can be split among tasks.
     """
     lines = cut(_lines(docs, id_col, text, depth, fields, min_tokens).withColumn("line", F.xxhash64("leaf", "fields")))
-    kinds = cut(lines.groupBy("line", "leaf", "fields", "fixed").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")))
+    # only lines whose leaf another document has too can go; dealt by leaf, their kinds need no further shuffle
+    common = lines.groupBy("leaf").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("leaf")
+    kinds = cut(lines.join(common, "leaf", "left_semi").groupBy("line", "leaf", "fields", "fixed").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")))
     shared = kinds.groupBy("leaf").count().where("count > 1").select("leaf")
     keys = _keys(kinds.join(shared, "leaf", "left_semi"), fields, similarity)
     template = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("lo").alias("first")).where("n > 1").select("key", "first")
