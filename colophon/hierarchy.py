@@ -7,26 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import cut
 from .values import first_value
 
 HOPS = 20
 
 
-def resource_titles(resources: DataFrame, v: DataFrame, term: str = "dcterms:title", cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def resource_titles(resources: DataFrame, v: DataFrame, term: str = "dcterms:title", cut: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """(id, title, changed): the first value of the term: its text, else its uri, else the title of the resource it links to.
 
-    A link is followed HOPS times at most, so a cycle gives no title; blank titles are null. Only unresolved rows are joined again.
+    A link is followed HOPS times at most, so a cycle gives no title; blank titles are null. Only unresolved rows are joined again, and each hop
+    is cut off from those before it.
     """
     w = first_value(v, [term]).select(F.col("resource_id").alias("_r"), F.coalesce(F.nullif(F.trim("value"), F.lit("")), F.nullif(F.trim("uri"), F.lit(""))).alias("_t"), F.when(F.coalesce(F.nullif(F.trim("value"), F.lit("")), F.nullif(F.trim("uri"), F.lit(""))).isNull(), F.col("value_resource_id")).alias("_to"))
     x = resources.select("id", F.col("title").alias("_old")).join(w, F.col("id") == F.col("_r"), "left").drop("_r")
     done = x.where("_to is null").select("id", "_old", "_t")
     open_ = x.where("_to is not null").select("id", "_old", "_to")
     for _ in range(HOPS):
-        if cut:
-            open_ = cut(open_)
         if open_.isEmpty():
             break
-        n = open_.join(w.select(F.col("_r"), F.col("_t"), F.col("_to").alias("_next")), F.col("_to") == F.col("_r"), "left")
+        n = cut(open_.join(w.select(F.col("_r"), F.col("_t"), F.col("_to").alias("_next")), F.col("_to") == F.col("_r"), "left"))
         done = done.union(n.where("_next is null").select("id", "_old", "_t"))
         open_ = n.where("_next is not null").select("id", "_old", F.col("_next").alias("_to"))
     done = done.union(open_.select("id", "_old", F.lit(None).cast("string")))
@@ -46,7 +46,7 @@ def ancestors(edges: DataFrame, max_depth: int = 10) -> DataFrame:
     up = edges.select(F.col("id").alias("_c"), F.col("parent_id").alias("_p")).where("_p is not null").distinct()
     out = step
     for d in range(2, max_depth + 1):
-        step = step.join(up, F.col("ancestor_id") == F.col("_c")).select("id", F.col("_p").alias("ancestor_id"), F.lit(d).alias("depth")).distinct()
+        step = cut(step.join(up, F.col("ancestor_id") == F.col("_c")).select("id", F.col("_p").alias("ancestor_id"), F.lit(d).alias("depth")).distinct())
         if step.isEmpty():
             break
         out = out.union(step)

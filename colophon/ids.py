@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import cut
+
 
 def allocate_ids(df: DataFrame, key_cols: list[str], start: int = 1, col: str = "id") -> DataFrame:
     """df with consecutive ids from start in the order of key_cols, whatever the number of partitions.
 
-    Rows are ranged and sorted by key; each partition is counted, and the counts before it are its offset. Only the counts, a row for
-    each partition, are summed in order.
+    Rows are ranged, sorted by key and written once with their places, so that every use of the result sees the same ids. Each partition
+    is counted, and the counts before it are its offset: only the counts, a row for each partition, are summed in order.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *key_cols).withColumn("_part", F.spark_partition_id()) if key_cols else df.withColumn("_part", F.spark_partition_id())
-    local = ordered.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*key_cols)))
-    sizes = local.groupBy("_part").agg(F.max("_n").alias("_size"))
-    before = sizes.withColumn("_before", F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).drop("_size")
-    return local.join(before, "_part").withColumn(col, (F.lit(start - 1) + F.col("_before") + F.col("_n")).cast("long")).drop("_part", "_n", "_before")
+    ordered = df.repartitionByRange(n, *key_cols).sortWithinPartitions(*key_cols) if key_cols else df
+    placed = cut(ordered.withColumn("_at", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_at", 33))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size") - F.shiftleft("_part", 33)).alias("_before"))
+    return placed.join(F.broadcast(before), "_part").withColumn(col, F.lit(start).cast("long") + F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")
 
 
 def conflict_ids(source: DataFrame, existing: DataFrame, col: str = "id") -> DataFrame:
