@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .patterns import apply_pattern
 from .sources import INDEX
 from .text import trim
 
@@ -68,17 +70,26 @@ def drop_empty_entries(entries: DataFrame) -> DataFrame:
     return entries.where(~is_empty(entries))
 
 
+def _patterned(pattern: str, fields: dict[str, Column]) -> Callable[[Column], Column]:
+    return lambda x: apply_pattern(pattern, x, fields)
+
+
 def melt(entries: DataFrame, headers: dict[str, str] | None = None) -> DataFrame:
     """(source_index, field, pos, term, types, lang, is_public, raw): a row for each cell and target of its column's header.
 
     headers gives fields another header than their name; fields without a target are left out. pos counts a field's cells from 0.
+    A header's pattern is applied to each cell; in it other fields' names stand for their first cells.
     A scan and two generators: nothing is shuffled.
     """
     arms = []
+    first = {c: F.get(f"`{c}`", F.lit(0)) for c in _fields(entries)}
     for c in _fields(entries):
         if targets := parse_header((headers or {}).get(c, c)):
             to = F.array(*(F.struct(F.lit(t.term).alias("term"), F.array(*map(F.lit, t.types)).cast("array<string>").alias("types"), F.lit(t.lang).cast("string").alias("lang"), F.lit(t.is_public).alias("is_public")) for t in targets))
-            arms.append(F.struct(F.lit(c).alias("field"), F.col(f"`{c}`").alias("cells"), to.alias("to")))
+            cells = F.col(f"`{c}`")
+            if targets[0].pattern:
+                cells = F.transform(cells, _patterned(targets[0].pattern, first))
+            arms.append(F.struct(F.lit(c).alias("field"), cells.alias("cells"), to.alias("to")))
     if not arms:
         return entries.select(INDEX, F.expr("'' as field"), F.expr("0 as pos"), F.expr("'' as term"), F.expr("cast(array() as array<string>) as types"), F.expr("cast(null as string) as lang"), F.expr("true as is_public"), F.expr("'' as raw")).where("false")
     each = entries.select(INDEX, F.explode(F.array(*arms)).alias("_a")).select(INDEX, "_a.field", "_a.to", F.posexplode("_a.cells").alias("pos", "raw"))

@@ -67,3 +67,10 @@ def test_clean_and_melt(spark):
     got = [tuple(r) for r in entries.melt(clean, {"x.y": "t @en | u", "z": ""}).orderBy("pos", "term").collect()]
     assert got == [(1, "x.y", p, t, [], "en", True, w) for p, w in ((0, "a"), (1, "b")) for t in "tu"]
     assert entries.melt(clean, {"x.y": "", "z": ""}).count() == 0
+
+
+def test_header_pattern(spark):
+    """A header's pattern changes each cell, with other fields' first cells at hand."""
+    df = spark.createDataFrame([(1, ["a", "b"], ["z"]), (2, ["c"], [])], "source_index long, x array<string>, y array<string>")
+    got = [tuple(r) for r in entries.melt(df, {"x": "t | u ~ {{ value|upper }}-{{ y }}", "y": ""}).select("source_index", "pos", "term", "raw").orderBy("source_index", "pos", "term").collect()]
+    assert got == [(1, 0, "t", "A-z"), (1, 0, "u", "A-z"), (1, 1, "t", "B-z"), (1, 1, "u", "B-z"), (2, 0, "t", "C-"), (2, 0, "u", "C-")]
