@@ -18,7 +18,7 @@ def fold(col: Column, match: str = "ci_ai") -> Column:
     if match == "ci":
         return F.lower(col)
     if match == "ci_ai":
-        return F.rtrim(col).collate("UNICODE_CI_AI")
+        return F.collate(F.rtrim(col), "UNICODE_CI_AI")
     raise ValueError(f"unknown match: {match}")
 
 
