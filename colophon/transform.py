@@ -35,15 +35,18 @@ def attach_item_set(v: DataFrame, item_set_ids: DataFrame, links: DataFrame, sou
 def link_resource(v: DataFrame, source: str, identifier: str, destination: str | None = None, reciprocal: str | None = None, type: str = "resource:item", keep_source: bool = False, match: str = "ci_ai", scope: DataFrame | None = None) -> DataFrame:
     """Literals of source that are another resource's identifier become links, with links back if reciprocal names a term."""
     known = v.where(F.col("term") == identifier).where(is_literal()).select(F.col("resource_id").alias("target"), fold(F.col("value"), match).alias("_k")).distinct()
-    text = _scoped(v, scope).where(F.col("term") == source).where(is_literal()).select(F.col("id").alias("value_id"), "resource_id", fold(F.col("value"), match).alias("_k"), "is_public")
-    found = text.join(known, "_k")
+    columns = v.columns
+    on = (F.col("term") == source) & is_literal()
+    if scope is not None:
+        v, on = v.join(scope.select("id").distinct().withColumn("_in", F.lit(True)), "id", "left"), on & F.col("_in")
+    # one join for the links and for what stays: a value without a match is one row of it
+    x = v.withColumn("_k", F.when(on, fold(F.col("value"), match))).join(known, "_k", "left")
     null = lambda t: F.lit(None).cast(t)
-    link = lambda a, b, term: found.select(F.col(a).alias("resource_id"), F.lit(term).alias("term"), F.lit(type).alias("type"), null("string").alias("value"), null("string").alias("uri"), F.col(b).alias("value_resource_id"), null("string").alias("lang"), F.coalesce("is_public", F.lit(True)).alias("is_public"))
-    new = link("resource_id", "target", destination or source)
-    if reciprocal:
-        new = new.union(link("target", "resource_id", reciprocal))
-    rest = v if keep_source else v.join(found.select(F.col("value_id").alias("id")).distinct(), "id", "left_anti")
-    return _append(rest.select(*v.columns), new.distinct())
+    link = lambda a, b, term: F.struct(F.col(a).alias("resource_id"), F.lit(term).alias("term"), F.lit(type).alias("type"), null("string").alias("value"), null("string").alias("uri"), F.col(b).alias("value_resource_id"), null("string").alias("lang"), F.coalesce("is_public", F.lit(True)).alias("is_public"))
+    links = [link("resource_id", "target", destination or source), *([link("target", "resource_id", reciprocal)] if reciprocal else [])]
+    new = x.where("target is not null").select(F.explode(F.array(*links)).alias("_l")).select("_l.*").distinct()
+    rest = v if keep_source else x.where("target is null")
+    return _append(rest.select(*columns), new)
 
 
 def copy_value_linked(v: DataFrame, source: str, terms: list[str]) -> DataFrame:
@@ -123,8 +126,9 @@ def insert_from_mapper(v: DataFrame, mapper: DataFrame, source: str, join: str =
 
 def replace_table_explode(v: DataFrame, mapper: DataFrame, source: str, join: str = "value", match: str = "ci_ai") -> DataFrame:
     """As insert_from_mapper, without the values that matched."""
-    hit = _mapped(v, mapper, source, join, match)
-    return _append(v.join(hit.select("id").distinct(), "id", "left_anti").select(*v.columns), hit.select("resource_id", *(F.col(f"m_{c}").alias(c) for c in ("term", *PAYLOAD))).distinct())
+    m = mapper.select(fold(F.col("source"), match).alias("_k"), *(F.col(c).alias(f"m_{c}") for c in ("term", *PAYLOAD)), F.lit(True).alias("_hit"))
+    x = v.withColumn("_k", F.when((F.col("term") == source) & (F.col(join) != ""), fold(F.col(join), match))).join(m, "_k", "left")
+    return _append(x.where("_hit is null").select(*v.columns), x.where("_hit").select("resource_id", *(F.col(f"m_{c}").alias(c) for c in ("term", *PAYLOAD))).distinct())
 
 
 def mapper_from_values(v: DataFrame, mapping: dict[str, str]) -> DataFrame:
