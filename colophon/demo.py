@@ -36,10 +36,10 @@ RESOURCES = (
     "union all select 200000000+p_partkey, 'items', p_name from {part} union all select 300000000+o_orderkey, 'items', cast(null as string) from {orders} "
     "union all select 400000000+n_nationkey, 'item_sets', n_name from {nation}"
 )
-#: An incoming batch: every tenth customer with another subject, an old identifier, and no spatial value.
+#: An incoming batch: every customer, most with another subject, an old identifier, and no spatial value.
 INCOMING = " union all ".join((
-    _arm("c_custkey", 5, "dcterms:subject", "case when c_custkey % 20 = 0 then c_mktsegment else concat('NEW ', c_mktsegment) end", "{customer} where c_custkey % 10 = 0"),
-    _arm("c_custkey", 6, "dcterms:identifier", "c_name", "{customer} where c_custkey % 10 = 0"),
+    _arm("c_custkey", 5, "dcterms:subject", "case when c_custkey % 20 = 0 then c_mktsegment else concat('NEW ', c_mktsegment) end", "{customer}"),
+    _arm("c_custkey", 6, "dcterms:identifier", "c_name", "{customer}"),
 ))
 MEDIA = "select 900000000000+l_orderkey*10+l_linenumber as id, 300000000+l_orderkey as item_id, l_linenumber as position, 'sideload' as ingester, concat('f', l_partkey) as source, concat('p', l_partkey, '/s', l_suppkey) as storage_id, 'jpg' as extension from {lineitem}"
 MAPPER = "select distinct p_type as source, 'dcterms:format' as term, 'uri' as type, concat('label ', p_type) as value, concat('http://x/', p_type) as uri, cast(null as bigint) as value_resource_id, cast(null as string) as lang, true as is_public from {part} where p_type like 'E%' or p_type like 'S%'"
@@ -116,9 +116,9 @@ def vocab_member(d):
     return _full(values.vocab_member(d.v, d.sql("select p_type as term_value from {part} where p_size > 20")))
 
 
-@query("select cast(id as varchar) as identifier, id from r where id % 7 = 0 and resource_name = 'items'")
+@query("select cast(id as varchar) as identifier, id from r where resource_name = 'items'")
 def find_by_id(d):
-    return identifiers.find_by_id(d.r.where("id % 7 = 0").select(F.col("id").cast("string").alias("identifier")), d.r, "items")
+    return identifiers.find_by_id(d.r.select(F.col("id").cast("string").alias("identifier")), d.r, "items")
 
 
 @query("select value as identifier, min(resource_id) as id, count(distinct resource_id) as count from v where term in ('dcterms:title','dcterms:identifier') and value in (select p_name from part union all select s_name from supplier) group by value")
@@ -155,9 +155,9 @@ def first_match_per_resource(d):
     return identifiers.first_match_per_resource(rows, d.v, ["dcterms:title", "dcterms:identifier"])
 
 
-@query("select m.item_id, m.source, e.id from media m join (select item_id, source, min(id) as id from media group by 1, 2) e on m.item_id = e.item_id and m.source = e.source where m.id % 2 = 0")
+@query("select m.item_id, m.source, e.id from media m join (select item_id, source, min(id) as id from media group by 1, 2) e on m.item_id = e.item_id and m.source = e.source")
 def match_item_media(d):
-    return identifiers.match_item_media(d.media.where("id % 2 = 0").drop("id"), d.media).select("item_id", "source", "id")
+    return identifiers.match_item_media(d.media.drop("id"), d.media).select("item_id", "source", "id")
 
 
 @query("select i.resource_id as item_id, s.resource_id as item_set_id from v i join v s on lower(i.value) = lower(s.value) where i.term = 'dcterms:spatial' and s.term = 'dcterms:identifier' and s.resource_id >= 400000000")
@@ -272,9 +272,9 @@ def delete_resources(d):
     return merge.delete_resources(d.r, d.v, d.media, d.r.where("id % 5 = 0"))[2].select("id")
 
 
-@query("with a as (select resource_id, term, value, count(*) filter (s = 1) as x, count(*) filter (s = 2) as y from (select *, 1 as s from v where resource_id % 10 = 0 and resource_id < 100000000 union all select *, 2 as s from new) group by 1, 2, 3), b as (select term, '=' as diff, least(x, y) as n from a union all select term, '-', x - least(x, y) from a union all select term, '+', y - least(x, y) from a) select term, diff, cast(sum(n) as bigint) as n from b where n > 0 group by term, diff")
+@query("with a as (select resource_id, term, value, count(*) filter (s = 1) as x, count(*) filter (s = 2) as y from (select *, 1 as s from v union all select *, 2 as s from new) group by 1, 2, 3), b as (select term, '=' as diff, least(x, y) as n from a union all select term, '-', x - least(x, y) from a union all select term, '+', y - least(x, y) from a) select term, diff, cast(sum(n) as bigint) as n from b where n > 0 group by term, diff")
 def diff_resources(d):
-    return merge.diff_summary(merge.diff_resources(d.v.where("resource_id % 10 = 0 and resource_id < 100000000"), d.new))
+    return merge.diff_summary(merge.diff_resources(d.v, d.new))
 
 
 @query("select distinct term, value from new where term = 'dcterms:subject' and value not in (select value from v where term = 'dcterms:subject')")
@@ -282,9 +282,10 @@ def new_values(d):
     return merge.new_values(d.new, d.v, ["dcterms:subject"])
 
 
-@query("select id, row_number() over (order by id) + 99 as new_id from r")
+@query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag) + 99 as new_id from lineitem")
 def allocate_ids(d):
-    return ids.allocate_ids(d.r.select("id"), ["id"], 100, "new_id")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return ids.allocate_ids(d.sql("select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag from {lineitem}"), [*keys, "l_returnflag"], 100, "new_id")
 
 
 @query("select id from r where id in (select resource_id from new)")
@@ -303,6 +304,14 @@ def resource_titles(d):
     return hierarchy.resource_titles(d.r.withColumn("title", F.lit(None).cast("string")), d.v)
 
 
+@query("select c_custkey as id, case when c_custkey not between 1 and 3 then 'N' || (c_custkey - c_custkey % 4) end as title, c_custkey not between 1 and 3 as changed from customer")
+def linked_titles(d):
+    """Each customer is titled by the one before it, up to three hops to one with a text; the first three form a cycle."""
+    r = d.sql("select c_custkey as id, cast(null as string) as title from {customer}")
+    v = d.sql("select c_custkey as id, c_custkey as resource_id, 'dcterms:title' as term, if(c_custkey % 4 = 0, concat('N', c_custkey), null) as value, cast(null as string) as uri, case when c_custkey % 4 = 0 then null when c_custkey = 1 then 3 else c_custkey - 1 end as value_resource_id from {customer}")
+    return hierarchy.resource_titles(r, v)
+
+
 @query("with e as (select 'c' || c_custkey as id, 'n' || c_nationkey as p from customer union all select 'n' || n_nationkey, 'r' || n_regionkey from nation) select id, p as ancestor_id, 1 as depth from e union all select a.id, b.p, 2 from e a join e b on a.p = b.id")
 def ancestors(d):
     return hierarchy.ancestors(d.sql("select concat('c', c_custkey) as id, concat('n', c_nationkey) as parent_id from {customer} union all select concat('n', n_nationkey), concat('r', n_regionkey) from {nation}"))
@@ -320,6 +329,25 @@ def pattern_filters(d):
     return d.sql("select * from {part}").select("p_partkey", patterns.capitalize(c("p_name")).alias("capitalized"), patterns.slice(c("p_name"), 2, 4).alias("sliced"), patterns.first(c("p_type")).alias("first"), patterns.last(c("p_type")).alias("last"), patterns.implodev("-", c("p_name"), F.lit(""), c("p_brand")).alias("joined"), patterns.url_encode(c("p_brand")).alias("encoded"), patterns.table(c("p_type"), {"ECONOMY": "cheap"}).alias("label"))
 
 
+@query("""select p_partkey, cast(p_size as varchar) as absolute, array_to_string(list_transform(string_split(lower(p_name), ' '), lambda x: upper(x[1]) || x[2:]), ' ') as titled, string_split(p_name, ' ')[1] as piece, p_brand || '/' || p_type as formatted,
+    '&lt;b&gt;' || p_name || '&lt;/b&gt;' as escaped, p_name as stripped, 'x : ' || p_name as indexed, substr(lpad(cast(p_partkey as varchar), 6, '0'), 1, 2) || '°' || substr(lpad(cast(p_partkey as varchar), 6, '0'), 3, 2) || '’' || substr(lpad(cast(p_partkey as varchar), 6, '0'), 5, 2) || '”' as hexa, cast(length(p_name) as int) as n, p_name as trimmed, upper(p_name[1]) || lower(p_name[2:]) as cleaned from part""")
+def more_filters(d):
+    c = F.col
+    tagged = F.concat(F.lit("<b>"), c("p_name"), F.lit("</b>"))
+    spaced = F.concat(F.lit(" \n"), F.replace(F.upper("p_name"), F.lit(" "), F.lit("  ")), F.lit(" "))
+    return d.sql("select * from {part}").select(
+        "p_partkey", patterns.absolute(F.concat(F.lit("-"), c("p_size").cast("string"))).alias("absolute"), patterns.title(F.lower("p_name")).alias("titled"), F.get(patterns.split(c("p_name"), " ", 2), F.lit(0)).alias("piece"), patterns.format(F.lit("%s/%s"), c("p_brand"), c("p_type")).alias("formatted"),
+        patterns.escape(tagged).alias("escaped"), patterns.striptags(tagged).alias("stripped"), patterns.unimarc_index(c("p_name"), "x").alias("indexed"), patterns.coordinates_hexa(F.lpad(c("p_partkey").cast("string"), 6, "0")).alias("hexa"), patterns.length(c("p_name")).alias("n"), patterns.trim(F.concat(F.lit("\t "), c("p_name"), F.lit(" "))).alias("trimmed"), text.clean_string(spaced, ["trim", "merge_space", "lowercase", "ucfirst"]).alias("cleaned"),
+    )
+
+
+@query("select p_partkey, p_name from part where p_type not in (select p_type from part where p_size < 10)")
+def exclude_list_accents(d):
+    """Texts compared without case, accents and trailing spaces, as they are by default."""
+    v = d.sql("select p_partkey, p_name, p_type as value from {part}")
+    return values.exclude_list(v, d.sql("select concat(replace(translate(p_type, 'AEO', 'ÁÈô'), 'I', 'i'), ' ') as value from {part} where p_size < 10")).select("p_partkey", "p_name")
+
+
 @query("select p_partkey, unnest(string_split(p_name, ' ')) as word from part")
 def split_keywords(d):
     return d.sql("select p_partkey, replace(p_name, ' ', ' ; ,') as k from {part}").select("p_partkey", F.explode(text.split_keywords(F.col("k"))).alias("word"))

@@ -16,11 +16,12 @@ def create_subtype_rows(d):
     return migrate.create_subtype_rows(d.sql("select o_orderkey as id, 'media' as resource_name from {orders}"), sub, "media", d.sql("select o_orderkey as id, 7 as item_id from {orders}"))
 
 
-@query("with e as (select p_type, p_brand, count(*) as n from (select p_type, p_brand from part union all select p_type, p_brand from part where p_size > 20) group by 1, 2) select p_type as family, p_brand as given, n from e")
+@query("select 'creator' as role, o_orderkey as source_id, c_name as family, n_name as given from orders join customer on o_custkey = c_custkey join nation on n_nationkey = c_nationkey union all select 'editor', l_orderkey * 10 + l_linenumber, c_name, n_name from lineitem join customer on l_suppkey = c_custkey join nation on n_nationkey = c_nationkey")
 def dedup_entities(d):
-    t = lambda w: d.sql("select p_partkey as source_id, 1 as pos, p_type as family, concat(' ', p_brand) as given from {part} " + w)
-    entity, m = migrate.dedup_entities({"creator": t(""), "editor": t("where p_size > 20")}, ["family", "given"])
-    return m.groupBy("id").agg(F.count(F.lit(1)).alias("n")).join(entity, "id").select("family", "given", "n")
+    """Every row leads to the entity that has its own names."""
+    t = lambda key, source, on: d.sql(f"select {key} as source_id, 1 as pos, concat(' ', c_name) as family, n_name as given from {source} join {{customer}} on {on} = c_custkey join {{nation}} on n_nationkey = c_nationkey")
+    entity, m = migrate.dedup_entities({"creator": t("o_orderkey", "{orders}", "o_custkey"), "editor": t("l_orderkey * 10 + l_linenumber", "{lineitem}", "l_suppkey")}, ["family", "given"])
+    return m.join(entity, "id").select("role", "source_id", "family", "given")
 
 
 @query("select p_partkey as resource_id, 'dcterms:creator' as term, case when p_size % 2 = 0 then 'resource:item' else 'literal' end as type, case when p_size % 2 = 0 then null else p_type || ', ' || p_brand end as value, case when p_size % 2 = 0 then 9 end as value_resource_id from part")
@@ -190,9 +191,9 @@ def update_thumbnails(d):
     return merge.update_thumbnails(d.r.select("id", F.lit(None).cast("long").alias("thumbnail_id")), links)
 
 
-@query("select c_custkey as resource_id, case when c_custkey % 20 = 0 then '=' else '+-' end as subject, '=' as identifier from customer where c_custkey % 10 = 0")
+@query("select c_custkey as resource_id, case when c_custkey % 20 = 0 then '=' else '+-' end as subject, '=' as identifier from customer union all select 100000000 + s_suppkey, '', '-' from supplier union all select 400000000 + n_nationkey, '', '-' from nation")
 def diff_matrix(d):
-    diff = merge.diff_resources(d.v.where("resource_id % 10 = 0 and resource_id < 100000000"), d.new)
+    diff = merge.diff_resources(d.v, d.new)
     return merge.diff_matrix(diff, ["dcterms:subject", "dcterms:identifier"]).toDF("resource_id", "subject", "identifier")
 
 
