@@ -2,60 +2,18 @@
 
 from __future__ import annotations
 
-import contextlib
-import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colophon.store import cut, scope, scratch  # noqa: F401, used through this module
+
 #: The characters between words: space, and tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-#: Folders that `scope` deletes when it ends; the innermost is the last.
-_scopes: list[str] = []
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder's URI under spark.checkpoint.dir, which every executor must reach.
-
-    Only on one machine (tests) may that be unset: then a temporary folder is taken.
-    """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not root:
-        if not re.match(r"local($|\[)", sc.master):
-            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="colophon-")
-        sc.setCheckpointDir(root)
-    return f"{(_scopes[-1] if _scopes else root).rstrip('/')}/colophon-{uuid.uuid4().hex}"
-
-
-@contextlib.contextmanager
-def scope(spark: SparkSession) -> Iterator[None]:
-    """What is written under it in the shared folder is deleted at its end; a result must be written elsewhere before."""
-    folder = scratch(spark)
-    _scopes.append(folder)
-    try:
-        yield
-    finally:
-        _scopes.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def cut(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write a result as a table in the shared folder and read it back: lost executors cost no recomputation of what is before."""
-    spark = df.sparkSession
-    path = path or scratch(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, rows: int = 200_000) -> DataFrame:
     """df to be broadcast if it has at most so many rows; else as it is, and joined by a shuffle. df is counted: cut it before."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
