@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import hierarchy, identifiers, merge, migrate, transform
+from . import hierarchy, identifiers, merge, migrate, pipeline, transform
 from .demo import COLS, _full, query
 
 ITEM_MAP = "select o_orderkey as source_id, 500000 + o_orderkey as dest_id from {orders} where o_orderkey % 3 <> 0"
@@ -256,3 +256,12 @@ def resolve_sources(d):
     rows = d.sql("select o_orderkey as source_index, array(c_name, c_name, '') as item from {orders} join {customer} on o_custkey = c_custkey")
     known = d.sql("select c_name as identifier, 'resources' as namespace, c_custkey as id from {customer} where c_custkey % 2 = 0 union all select c_name, 'assets', 1 from {customer}")
     return identifiers.resolve_sources(identifiers.extract_identifiers(rows, {"item": "resources"}), known).select("source_index", "identifier", "namespace", "id")
+
+
+@query(f"""select {COLS} from v where not (resource_id < 100000000 and term in ('dcterms:identifier', 'dcterms:subject'))
+    union all select c_custkey, 'dcterms:identifier', 'literal', c_name, null, null, null, true from customer union all select c_custkey, 'dcterms:subject', 'literal', 'new ' || lower(c_mktsegment), null, null, 'en', true from customer""")
+def import_entries(d):
+    """A table of all customers revises what is stored of them, a header's pattern changing their segment."""
+    table = d.sql("select c_custkey as source_index, array(c_name) as name, array(c_mktsegment) as segment from {customer}")
+    headers = {"name": "dcterms:identifier", "segment": "dcterms:subject @en ~ new {{ value|lower }}"}
+    return _full(pipeline.import_entries(table, d.v, d.r, ["dcterms:identifier"], "revise", headers).values)
