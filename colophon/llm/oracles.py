@@ -1,3 +1,12 @@
 """DuckDB twins of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+#: base32 of a SHA-1: five hexadecimal digits are four characters.
+_BASE32 = "array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(1 + ((cast('0x' || substr(h, cast(1 + 5 * (k // 4) as bigint), 5) as bigint) >> cast(15 - 5 * (k % 4) as bigint)) & 31) as bigint), 1)), '')"
+
+ORACLES: dict[str, str] = {
+    "op2_warc": f"""with p as (select page_id, coalesce(url, '') as url, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages), m as (select h, max(page_id) as last, count(*) as n from p group by h)
+    select page_id, strlen(html) as payload_bytes, {_BASE32} as payload_digest, case when page_id < last then 'revisit' else 'response' end as record_type, case when page_id < last then last end as refers_to, url from p join m using (h)""",
+    "op9_nearest": """with e as (select vec_id, cast(embedding as double[]) as v from embeddings), n as (select vec_id, v, sqrt(list_dot_product(v, v)) as l from e where len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0), k as (select * from n where l > 0),
+    s as (select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v) / (q.l * c.l) as score from k q join k c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
+    r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5""",
+}

@@ -442,3 +442,20 @@ def test_pipeline(spark):
     got = p.run(spark, DIR).collect()
     assert Counter((r["doc_id"], r["doc_tokens"]) for r in got if r["start"] == 0) == want
     assert sum(r["length"] for r in got) == sum(n * k for (_, n), k in want.items())
+
+
+@pytest.mark.parametrize("name", ["op2_warc", "op9_nearest"])
+def test_twin(spark, name):
+    """The same rows as the DuckDB twin's, on whole tables."""
+    import duckdb
+    from colophon.llm import oracles
+
+    con, d = duckdb.connect(), "/root/testdata/sf0.01"
+    for t in ("pages", "embeddings"):
+        con.execute(f"create view {t} as select * from '{d}/{t}.parquet'")
+    cur = con.execute(oracles.ORACLES[name])
+    names = sorted(c[0] for c in cur.description)
+    want = Counter(tuple(dict(zip((c[0] for c in cur.description), r, strict=True))[n] for n in names) for r in cur.fetchall())
+    df = queries.QUERIES[name](spark, d)
+    got = Counter(tuple(r[n] for n in names) for r in df.collect())
+    assert sorted(df.columns) == names and got == want, (list((got - want))[:3], list((want - got))[:3])
