@@ -1,4 +1,4 @@
-"""Operators for preparing training data: ten DataFrame-in, DataFrame-out operators and their queries."""
+"""Operators for preparing training data: thirteen DataFrame-in, DataFrame-out operators and their queries."""
 
 import sys
 
