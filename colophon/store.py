@@ -29,6 +29,12 @@ def scratch(spark: SparkSession) -> str:
     return f"{(_scopes[-1] if _scopes else root).rstrip('/')}/colophon-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that scratch named, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextlib.contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """What is written under it in the shared folder is deleted at its end; a result must be written elsewhere before."""
@@ -38,8 +44,7 @@ def scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
 
 
 def cut(df: DataFrame, path: str | None = None) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ids import allocate_ids
 from .schema import PAYLOAD
+from .store import cut, delete, scope, scratch
 from .text import fold, split_uri_label, trim
 from .values import is_literal
 
@@ -20,9 +22,13 @@ def _scoped(v: DataFrame, scope: DataFrame | None) -> DataFrame:
     return v if scope is None else v.join(scope.select("id"), "id", "left_semi")
 
 
-def _append(v: DataFrame, new: DataFrame) -> DataFrame:
-    """v and new rows, which have no id yet."""
-    return v.unionByName(new.select(F.lit(None).cast("long").alias("id"), *_NEW))
+def _append(v: DataFrame, new: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """v and new rows, with ids above those of stored (v itself if not given) in the order of their resources, terms and payloads.
+
+    The new rows are written once; a stored table is only read for its largest id.
+    """
+    top = (v if stored is None else stored).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    return v.unionByName(allocate_ids(new.select(*_NEW), list(_NEW), top + 1).select("id", *_NEW))
 
 
 def attach_item_set(v: DataFrame, item_set_ids: DataFrame, links: DataFrame, source: str, identifier: str, match: str = "ci_ai", scope: DataFrame | None = None) -> DataFrame:
@@ -35,7 +41,7 @@ def attach_item_set(v: DataFrame, item_set_ids: DataFrame, links: DataFrame, sou
 def link_resource(v: DataFrame, source: str, identifier: str, destination: str | None = None, reciprocal: str | None = None, type: str = "resource:item", keep_source: bool = False, match: str = "ci_ai", scope: DataFrame | None = None) -> DataFrame:
     """Literals of source that are another resource's identifier become links, with links back if reciprocal names a term."""
     known = v.where(F.col("term") == identifier).where(is_literal()).select(F.col("resource_id").alias("target"), fold(F.col("value"), match).alias("_k")).distinct()
-    columns = v.columns
+    columns, stored = v.columns, v
     on = (F.col("term") == source) & is_literal()
     if scope is not None:
         v, on = v.join(scope.select("id").distinct().withColumn("_in", F.lit(True)), "id", "left"), on & F.col("_in")
@@ -46,7 +52,7 @@ def link_resource(v: DataFrame, source: str, identifier: str, destination: str |
     links = [link("resource_id", "target", destination or source), *([link("target", "resource_id", reciprocal)] if reciprocal else [])]
     new = x.where("target is not null").select(F.explode(F.array(*links)).alias("_l")).select("_l.*").distinct()
     rest = v if keep_source else x.where("target is null")
-    return _append(rest.select(*columns), new)
+    return _append(rest.select(*columns), new, stored)
 
 
 def copy_value_linked(v: DataFrame, source: str, terms: list[str]) -> DataFrame:
@@ -93,7 +99,7 @@ def cut_value(v: DataFrame, source: str, separator: str, dest1: str, dest2: str)
     on = (F.col("term") == source) & is_literal() & (at > 0)
     before = v.where(on).select("resource_id", F.lit(dest1).alias("term"), "type", F.trim(F.substring_index("value", separator, 1)).alias("value"), "uri", "value_resource_id", "lang", "is_public")
     after = F.trim(F.substr(F.col("value"), at + len(separator)))
-    return _append(v.withColumns({"term": F.when(on, F.lit(dest2)).otherwise(F.col("term")), "value": F.when(on, after).otherwise(F.col("value"))}), before)
+    return _append(v.withColumns({"term": F.when(on, F.lit(dest2)).otherwise(F.col("term")), "value": F.when(on, after).otherwise(F.col("value"))}), before, v)
 
 
 def append_raw_value(v: DataFrame, resources: DataFrame, terms: list[str], value: str | None = None, uri: str | None = None, lang: str | None = None, type: str = "literal") -> DataFrame:
@@ -110,15 +116,27 @@ def _mapped(v: DataFrame, mapper: DataFrame, source: str, join: str, match: str)
 
 
 def replace_table_update(v: DataFrame, mapper: DataFrame, source: str, join: str = "value", match: str = "ci_ai") -> DataFrame:
-    """Values found in the mapper take its term, type and payload; of several rows the smallest (term, type, uri, value)."""
-    hit = _mapped(v, mapper, source, join, match)
-    row = F.struct(*(F.col(f"m_{c}").alias(c) for c in ("term", "type", "uri", "value", "value_resource_id", "lang", "is_public")))
-    best = hit.groupBy("id").agg(F.min(row).alias("_m"))
-    x = v.join(best, "id", "left")
+    """Values found in the mapper take its term, type and payload; of several rows the smallest (term, type, uri, value).
+
+    The mapper has one row for each text before it is joined, so values are neither grouped nor told apart by their ids.
+    """
+    row = F.struct(*(F.col(c) for c in ("term", "type", "uri", "value", "value_resource_id", "lang", "is_public")))
+    best = mapper.where(F.col("source").isNotNull()).groupBy(fold(F.col("source"), match).alias("_k")).agg(F.min(row).alias("_m"))
+    x = v.withColumn("_k", F.when((F.col("term") == source) & (F.col(join) != ""), fold(F.col(join), match))).join(best, "_k", "left")
     take = lambda c: F.when(F.col("_m").isNotNull(), F.col(f"_m.{c}")).otherwise(F.col(c))
     return x.select(*(take(c).alias(c) if c in ("term", *PAYLOAD) else F.col(c) for c in v.columns))
 
 
+def convert_datatype(v: DataFrame, source: str, datatype: str, mapping: DataFrame, match: str = "ci_ai") -> DataFrame:
+    """Literals of source become values of a vocabulary's data type: the uri and label of mapping (source, uri, label), where a text has one uri.
+
+    Only data types of suggested values can be reached from a text; numbers and others are refused.
+    """
+    if not datatype.startswith("valuesuggest"):
+        raise ValueError(f"cannot convert texts into {datatype}")
+    return replace_table_update(v, single_uri_mapper(mapping, [source]).withColumn("type", F.lit(datatype)), source, match=match)
+
+
 def insert_from_mapper(v: DataFrame, mapper: DataFrame, source: str, join: str = "value", match: str = "ci_ai") -> DataFrame:
     """v and the mapped values of each match, once for each resource."""
     return _append(v, _mapped(v, mapper, source, join, match).select("resource_id", *(F.col(f"m_{c}").alias(c) for c in ("term", *PAYLOAD))).distinct())
@@ -128,7 +146,8 @@ def replace_table_explode(v: DataFrame, mapper: DataFrame, source: str, join: st
     """As insert_from_mapper, without the values that matched."""
     m = mapper.select(fold(F.col("source"), match).alias("_k"), *(F.col(c).alias(f"m_{c}") for c in ("term", *PAYLOAD)), F.lit(True).alias("_hit"))
     x = v.withColumn("_k", F.when((F.col("term") == source) & (F.col(join) != ""), fold(F.col(join), match))).join(m, "_k", "left")
-    return _append(x.where("_hit is null").select(*v.columns), x.where("_hit").select("resource_id", *(F.col(f"m_{c}").alias(c) for c in ("term", *PAYLOAD))).distinct())
+    new = x.where("_hit").select("resource_id", *(F.col(f"m_{c}").alias(c) for c in ("term", *PAYLOAD))).distinct()
+    return _append(x.where("_hit is null").select(*v.columns), new, v)
 
 
 def mapper_from_values(v: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -138,12 +157,19 @@ def mapper_from_values(v: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return v.where(F.col("term").isin(list(mapping))).select(key.alias("source"), new.alias("term"), *PAYLOAD).distinct()
 
 
-def list_values(v: DataFrame, terms: list[str], types: list[str] | None = None, column: str = "value") -> DataFrame:
-    """(v, resource_ids): each distinct text with the sorted ids of the resources that have it."""
+def value_resources(v: DataFrame, terms: list[str], types: list[str] | None = None, column: str = "value") -> DataFrame:
+    """(v, resource_id): each distinct text with each resource that has it, a row each, so that a common text can be split among tasks."""
     x = v.where(F.col("term").isin(terms) & (F.col(column) != ""))
     if types is not None:
         x = x.where(F.coalesce(F.col("type"), F.lit("")).isin(types))
-    return x.groupBy(F.col(column).alias("v")).agg(F.array_sort(F.collect_set("resource_id")).alias("resource_ids"))
+    return x.select(F.col(column).alias("v"), "resource_id").distinct()
+
+
+def list_values(v: DataFrame, terms: list[str], types: list[str] | None = None, column: str = "value") -> DataFrame:
+    """(v, resource_ids): each distinct text with the sorted ids of the resources that have it. A text's ids are one cell; where a text may
+    be that of very many resources, value_resources gives them as rows."""
+    each = value_resources(v, terms, types, column)
+    return each.groupBy("v").agg(F.array_sort(F.collect_list("resource_id")).alias("resource_ids"))
 
 
 def link_created(v: DataFrame, created: DataFrame, mapping: dict[str, str], reciprocal: str | None = None, type: str = "resource:item", match: str = "ci_ai") -> DataFrame:
@@ -156,7 +182,7 @@ def link_created(v: DataFrame, created: DataFrame, mapping: dict[str, str], reci
     out = x.select(*v.columns)
     if reciprocal:
         back = x.where(hit).select(F.col("_to").alias("resource_id"), F.lit(reciprocal).alias("term"), "type", "value", "uri", F.col("resource_id").alias("value_resource_id"), "lang", "is_public").distinct()
-        out = _append(out, back)
+        out = _append(out, back, v)
     return out
 
 
@@ -167,20 +193,6 @@ def single_uri_mapper(mapping: DataFrame, terms: list[str]) -> DataFrame:
     return one.select("source", F.explode(F.array(*map(F.lit, terms))).alias("term"), F.lit("uri").alias("type"), F.col("label").alias("value"), "uri", F.lit(None).cast("long").alias("value_resource_id"), F.lit(None).cast("string").alias("lang"), F.lit(True).alias("is_public"))
 
 
-OPERATIONS: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (link_resource, copy_value_linked, remove_value, modify_value, cut_value, append_raw_value, replace_table_update, replace_table_explode, insert_from_mapper, link_created)}
-
-
-def transform_pipeline(v: DataFrame, operations: list[dict], cut: Callable[[DataFrame], DataFrame] | None = None, every: int = 5) -> DataFrame:
-    """The operations {"action": name, "params": {...}} in order; `cut` (such as DataFrame.checkpoint) is applied after every few."""
-    for i, op in enumerate(operations, 1):
-        if op["action"] not in OPERATIONS:
-            raise ValueError(f"unknown action: {op['action']}")
-        v = OPERATIONS[op["action"]](v, **op.get("params", {}))
-        if cut and i % every == 0:
-            v = cut(v)
-    return v
-
-
 def build_mapper(table: DataFrame, source: str, columns: dict[str, dict], separator: str = "|", keep_source: str | None = None) -> DataFrame:
     """mapper rows of a wide sheet: for each column {term, and type, lang, is_public, prefix, suffix}, a row for each piece of its cell.
 
@@ -236,7 +248,7 @@ def merge_source_uris(table: DataFrame, uri_prefix: str = "") -> DataFrame:
 def update_class_template(resources: DataFrame, v: DataFrame, term: str, by_type: DataFrame) -> DataFrame:
     """resources with the class and template that by_type (type, class, template) gives the data type of their first value of the term."""
     m = by_type.groupBy(F.col("type").alias("_type")).agg(F.min(F.struct("class", "template")).alias("_m"))
-    hit = v.where(F.col("term") == term).groupBy(F.col("resource_id").alias("id")).agg(F.min_by("type", "id").alias("_type")).join(m, "_type").drop("_type")
+    hit = v.where(F.col("term") == term).groupBy(F.col("resource_id").alias("id")).agg(F.min_by("type", F.struct(F.col("id").isNull().alias("n"), "id", "type")).alias("_type")).join(m, "_type").drop("_type")
     return resources.join(hit, "id", "left").withColumns({c: F.coalesce(F.col(f"_m.{c}"), F.col(c)) for c in ("class", "template")}).select(*resources.columns)
 
 
@@ -257,3 +269,71 @@ def fill_from_authority(v: DataFrame, authority: DataFrame, source: str, columns
     found = uris.join(authority, "uri").select("resource_id", F.explode(F.array(*(arm(c, s) for c, s in columns.items()))).alias("_a")).select("resource_id", "_a.*")
     new = found.where("coalesce(value, uri) is not null").distinct()
     return _append(v, new.withColumns({"value_resource_id": F.lit(None).cast("long"), "lang": F.lit(None).cast("string"), "is_public": F.lit(True)}))
+
+
+@dataclass
+class State:
+    """What a list of operations works on: values, resources, and the item sets of items (item_id, item_set_id)."""
+
+    values: DataFrame
+    resources: DataFrame
+    item_sets: DataFrame
+
+
+def create_resource(state: State, mapper: DataFrame | None = None, mapping: dict[str, str] | None = None, resource_name: str = "items", class_: str | None = None, template: str | None = None, link: dict[str, str] | None = None, reciprocal: str | None = None, match: str = "ci_ai") -> State:
+    """A new resource for each source of the mapper, or for each distinct text of the mapped terms, titled by it, with its values.
+
+    Ids follow the largest of the resources, in the order of sources. link (term to term) turns literals that are a title into links.
+    """
+    m = mapper_from_values(state.values, mapping) if mapper is None else mapper
+    top = state.resources.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    made, new = create_resources(m, top + 1, resource_name, class_, template)
+    v = _append(state.values, new)
+    if link:
+        v = link_created(v, made, link, reciprocal, f"resource:{'itemset' if resource_name == 'item_sets' else 'item'}", match)
+    return replace(state, values=v, resources=state.resources.unionByName(made.select(*(c for c in made.columns if c in state.resources.columns)), allowMissingColumns=True))
+
+
+def attach_items(state: State, source: str, identifier: str = "dcterms:identifier", match: str = "ci_ai") -> State:
+    """Items join the item sets that one of their texts names, also sets that an earlier operation has made."""
+    sets = state.resources.where("resource_name = 'item_sets'")
+    return replace(state, item_sets=attach_item_set(state.values, sets, state.item_sets, source, identifier, match))
+
+
+#: Operations on values alone; those that touch each row by itself; and those on the whole state.
+OPERATIONS: dict[str, Callable[..., DataFrame]] = {f.__name__: f for f in (link_resource, copy_value_linked, remove_value, modify_value, cut_value, append_raw_value, replace_table_update, replace_table_explode, insert_from_mapper, link_created, fill_from_authority, convert_datatype)}
+NARROW = ("remove_value", "modify_value")
+STATE_OPERATIONS: dict[str, Callable[..., State]] = {"create_resource": create_resource, "attach_item_set": attach_items}
+
+
+def transform_state(state: State, operations: list[dict]) -> State:
+    """The operations {"action": name, "params": {...}} in order, each on all that those before it made; an unknown one stops before any is run.
+
+    After every operation that moves rows the tables are written in the shared folder, and those of the step before deleted, so that a
+    long list neither works anything out twice nor keeps more than two states on disk.
+    """
+    if unknown := [op["action"] for op in operations if op["action"] not in OPERATIONS | STATE_OPERATIONS]:
+        raise ValueError(f"unknown action: {unknown[0]}")
+    spark, last = state.values.sparkSession, []
+    for op in operations:
+        name, params = op["action"], op.get("params", {})
+        if name in NARROW:
+            state = replace(state, values=OPERATIONS[name](state.values, **params))
+            continue
+        paths = {c: scratch(spark) for c in ("values", "resources", "item_sets")}
+        with scope(spark):
+            new = STATE_OPERATIONS[name](state, **params) if name in STATE_OPERATIONS else replace(state, values=OPERATIONS[name](state.values, **params))
+            changed = {c: cut(getattr(new, c), path) for c, path in paths.items() if getattr(new, c) is not getattr(state, c)}
+        state = replace(state, **changed)
+        for c, path in last:
+            if c in changed:
+                delete(spark, path)
+        last = [x for x in last if x[0] not in changed] + [(c, paths[c]) for c in changed]
+    return state
+
+
+def transform_pipeline(v: DataFrame, operations: list[dict]) -> DataFrame:
+    """As transform_state, on values alone."""
+    if unknown := [op["action"] for op in operations if op["action"] not in OPERATIONS]:
+        raise ValueError(f"unknown action: {unknown[0]}")
+    return transform_state(State(v, v, v), operations).values

@@ -48,18 +48,20 @@ def dedup_values(v: DataFrame) -> DataFrame:
 
 
 def reorder_values(v: DataFrame, template_property: DataFrame) -> DataFrame:
-    """v with `position`: by resource, terms in the template's order, others after them as first seen, ids in order within a term."""
+    """v with `position`: by resource, terms in the template's order, others after them as first seen, ids in order within a term; values
+    without an id come last of their term, and are seen after all others."""
     p = template_property.groupBy("term").agg(F.min("position").alias("_p"))
     seen = F.min("id").over(Window.partitionBy("resource_id", "term"))
     x = v.join(p, "term", "left").withColumn("_seen", seen)
-    order = Window.partitionBy("resource_id").orderBy(F.col("_p").asc_nulls_last(), "_seen", "id")
+    order = Window.partitionBy("resource_id").orderBy(F.col("_p").asc_nulls_last(), F.col("_seen").asc_nulls_last(), "term", F.col("id").asc_nulls_last(), *PAYLOAD)
     return x.withColumn("position", F.row_number().over(order)).drop("_p", "_seen").select(*v.columns, "position")
 
 
 def first_value(v: DataFrame, terms: list[str]) -> DataFrame:
-    """Each resource's value with the lowest id among these terms."""
-    w = Window.partitionBy("resource_id").orderBy("id")
-    return v.where(F.col("term").isin(terms)).withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """Each resource's value with the lowest id among these terms; a value without an id comes after all that have one."""
+    rest = [c for c in v.columns if c not in ("id", "resource_id")]
+    least = F.min(F.struct(F.col("id").isNull().alias("_none"), "id", *rest)).alias("_v")
+    return v.where(F.col("term").isin(terms)).groupBy("resource_id").agg(least).select("_v.id", "resource_id", *(f"_v.{c}" for c in rest))
 
 
 def vocab_member(v: DataFrame, terms: DataFrame) -> DataFrame:
