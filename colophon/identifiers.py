@@ -83,11 +83,10 @@ def resolve_sources(source_identifier: DataFrame, existing: DataFrame) -> DataFr
 
 def first_match_per_resource(rows: DataFrame, v: DataFrame, terms: list[str]) -> DataFrame:
     """(source_index, id, conflict): rows (source_index, term, identifier) by the first term of the list that finds a resource."""
-    x = None
+    x = rows.select("source_index", F.lit(None).cast("long").alias("id"), F.lit(0).alias("_p")).where("false")
     for i, term in enumerate(terms):
         own = rows.where(F.col("term") == term)
-        hit = own.join(find_by_value(own, v, [term]), "identifier").select("source_index", "id", F.lit(i).alias("_p"))
-        x = hit if x is None else x.union(hit)
+        x = x.union(own.join(find_by_value(own, v, [term]), "identifier").select("source_index", "id", F.lit(i).alias("_p")))
     return x.groupBy("source_index").agg(F.min_by("id", F.struct("_p", "id")).alias("id"), (F.count_distinct("id") > 1).alias("conflict"))
 
 

@@ -32,9 +32,22 @@ def can_keep_ids(source: DataFrame, existing: DataFrame, col: str = "id") -> boo
     return conflict_ids(source, existing, col).isEmpty()
 
 
-def remap_ids(df: DataFrame, columns: dict[str, str], id_map: DataFrame) -> DataFrame:
-    """Each column's ids replaced by the destination ids of its entity; unknown ones become null."""
-    for col, entity in columns.items():
-        m = id_map.where(F.col("entity") == entity).select(F.col("source_id").cast("string").alias("_s"), F.col("dest_id").alias("_d"))
+def remap_ids(df: DataFrame, columns: dict[str, str | list[str]], id_map: DataFrame) -> DataFrame:
+    """Each column's ids replaced by the destination ids of its entity, or of the first of several entities that has it; unknown ones become null."""
+    for col, named in columns.items():
+        entities = [named] if isinstance(named, str) else named
+        order = F.array_position(F.array(*map(F.lit, entities)), F.col("entity"))
+        m = id_map.where(F.col("entity").isin(entities)).groupBy(F.col("source_id").cast("string").alias("_s")).agg(F.min_by("dest_id", F.struct(order, "dest_id")).alias("_d"))
         df = df.join(m, F.col(col).cast("string") == F.col("_s"), "left").withColumn(col, F.col("_d")).drop("_s", "_d")
     return df
+
+
+def unknown_ids(df: DataFrame, columns: dict[str, str | list[str]], id_map: DataFrame, name: str) -> DataFrame:
+    """(entity, column, source_id, n): ids of df (of the entity name) that remap_ids would lose, and how many rows have them."""
+    out = None
+    for col, named in columns.items():
+        m = id_map.where(F.col("entity").isin([named] if isinstance(named, str) else named)).select(F.col("source_id").cast("string").alias("source_id"))
+        x = df.select(F.col(col).cast("string").alias("source_id")).where("source_id is not null").groupBy("source_id").agg(F.count(F.lit(1)).alias("n")).join(m, "source_id", "left_anti")
+        x = x.select(F.lit(name).alias("entity"), F.lit(col).alias("column"), "source_id", "n")
+        out = x if out is None else out.union(x)
+    return out

@@ -83,16 +83,53 @@ def undo_import(resources: DataFrame, v: DataFrame, media: DataFrame, imported:
     return *delete_resources(resources, v, media, own), imported.where(F.col("job_id") != job_id)
 
 
-def diff_resources(cur: DataFrame, new: DataFrame) -> DataFrame:
-    """(resource_id, term, payload, data1, data2, diff): properties compared as multisets of normalized values: `=`, `-` or `+`."""
+def diff_resources(cur: DataFrame, new: DataFrame, update_mode: str | None = None, mapped_terms: list[str] = (), simulate_missing: bool = False) -> DataFrame:
+    """(resource_id, term, payload, n, diff): properties compared as multisets of normalized values: `=`, `-` or `+`.
+
+    With an update mode (append, revise, update or replace) the incoming values of a property are first merged into the current ones as
+    the mode would, each equal value once, and the result is compared. A property without an incoming value is then `-` whatever the mode; with
+    simulate_missing it is what the mode leaves of it: kept by append, revise, and by update unless it is mapped.
+    """
+    if update_mode not in (None, "append", "revise", "update", "replace"):
+        raise ValueError(f"unknown update mode: {update_mode}")
     key = [*_KEY, *PAYLOAD]
     count = lambda df, name: normalize_values(df).select(*key, F.lit(name).alias("_s"))
     n = count(cur, 1).union(count(new, 2)).groupBy(*key).agg(F.count_if(F.col("_s") == 1).alias("data1"), F.count_if(F.col("_s") == 2).alias("data2"))
+    if update_mode:
+        given = new.select(*_KEY).distinct().withColumn("_given", F.lit(True))
+        n = n.join(given, list(_KEY), "left")
+        merged = F.lit(1) if update_mode == "append" else F.least("data2", F.lit(1))
+        left = F.lit(0)
+        if simulate_missing and update_mode != "replace":
+            cleared = F.col("term").isin(list(mapped_terms)) if update_mode == "update" else F.lit(False)
+            left = F.when(cleared, 0).otherwise(F.least("data1", F.lit(1)))
+        n = n.withColumn("data2", F.when(F.col("_given"), merged).otherwise(left))
     least = F.least("data1", "data2")
-    parts = F.array(*(F.struct(x.alias("n"), F.lit(s).alias("diff")) for s, x in (("=", least), ("-", F.col("data1") - least), ("+", F.col("data2") - least))))
+    parts = F.array(*(F.struct(x.cast("long").alias("n"), F.lit(s).alias("diff")) for s, x in (("=", least), ("-", F.col("data1") - least), ("+", F.col("data2") - least))))
     return n.select(*key, F.explode(parts).alias("_d")).where("_d.n > 0").select(*key, F.col("_d.n").alias("n"), F.col("_d.diff").alias("diff"))
 
 
+def diff_fields(cur: DataFrame, new: DataFrame, fields: list[str], errors: DataFrame | None = None) -> DataFrame:
+    """(id, meta, data1, data2, diff) of resources by their single fields: `=` equal, `+` or `-` on one side only, `≠` changed.
+
+    A resource on one side only is one row, meta `resource`; one with errors (a column id) is one row, `×`. Empty texts, 0 and false count
+    as nothing when a field is set or taken away. A row without an id has nothing to be compared with: `+` or `-`.
+    """
+    text = lambda df, side: F.array(*(F.struct(F.lit(c).alias("meta"), df[c].cast("string").alias("x"), F.coalesce(df[c].cast("string").isin("", "0", *(["false"] if df.schema[c].dataType.typeName() == "boolean" else [])), F.lit(True)).alias("none")) for c in fields)).alias(side)
+    a, b = cur.select(F.col("id").alias("_a"), text(cur, "_x")), new.select(F.col("id").alias("_b"), text(new, "_y"))
+    x = a.join(b, F.col("_a") == F.col("_b"), "full").withColumn("id", F.coalesce("_a", "_b"))
+    bad = F.lit(False)
+    if errors is not None:
+        x = x.join(errors.select("id", F.lit(True).alias("_bad")).distinct(), "id", "left")
+        bad = F.coalesce("_bad", F.lit(False))
+    one = lambda meta, d1, d2, sign: F.struct(F.lit(meta).alias("meta"), d1.cast("string").alias("data1"), d2.cast("string").alias("data2"), F.lit(sign).alias("diff"))
+    sign = lambda p, q: F.when(p["x"].eqNullSafe(q["x"]), "=").when(q["none"], "-").when(p["none"], "+").otherwise("≠")
+    each = F.zip_with("_x", "_y", lambda p, q: F.struct(p["meta"].alias("meta"), p["x"].alias("data1"), q["x"].alias("data2"), sign(p, q).alias("diff")))
+    rows = (F.when(F.col("_x").isNull(), F.array(one("resource", F.col("_a"), F.col("_b"), "+"))).when(F.col("_y").isNull(), F.array(one("resource", F.col("_a"), F.col("_b"), "-")))
+            .when(bad, F.array(one("has_error", F.col("_a"), F.col("_b"), "×"))).otherwise(each))
+    return x.select("id", F.explode(rows).alias("_d")).select("id", "_d.*")
+
+
 def new_values(incoming: DataFrame, v: DataFrame, terms: list[str]) -> DataFrame:
     """(term, value): distinct incoming values of these terms that no stored one equals."""
     shown = F.coalesce(F.col("value_resource_id").cast("string"), F.nullif(F.col("uri"), F.lit("")), F.col("value"))

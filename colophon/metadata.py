@@ -44,7 +44,7 @@ def normalize_resource_name(col: Column) -> Column:
 
 
 def fill_values(chosen: DataFrame) -> DataFrame:
-    """Value rows of chosen texts (resource_id, term, type, raw, target_id, lang, is_public): text, uri with label, or link.
+    """Value rows of chosen texts (resource_id, term, type, raw, target_id, lang, is_public; and id if there is one): text, uri with label, or link.
 
     Chosen rows without a type, which no type fitted, are left out.
     """
@@ -52,7 +52,7 @@ def fill_values(chosen: DataFrame) -> DataFrame:
     is_uri = (F.col("type") == "uri") | F.col("type").startswith("valuesuggest")
     link = F.col("type").startswith("resource")
     return chosen.where("type is not null").select(
-        "resource_id", "term", "type",
+        *(["id"] if "id" in chosen.columns else []), "resource_id", "term", "type",
         F.when(is_uri, F.nullif(label, F.lit(""))).when(~link, F.col("raw")).alias("value"), F.when(is_uri, uri).alias("uri"), F.when(link, F.col("target_id")).alias("value_resource_id"),
         F.when(~link, F.col("lang")).alias("lang"), F.coalesce("is_public", F.lit(True)).alias("is_public"),
     )

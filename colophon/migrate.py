@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
+from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ids import allocate_ids
+from .ids import allocate_ids, can_keep_ids, remap_ids, unknown_ids
+from .store import cut
 
 #: Security codes of files that everybody may read (fixed values).
 PUBLIC_SECURITY = ("public",)
@@ -214,3 +217,53 @@ def remap_vocab_item_sets(vocab: DataFrame, id_map: DataFrame) -> DataFrame:
     """vocab whose item_set_id is that of the destination; an unknown one is null."""
     m = id_map.where("entity = 'item_sets'").select(F.col("source_id").cast("long").alias("item_set_id"), F.col("dest_id").alias("_to"))
     return vocab.join(m, "item_set_id", "left").withColumn("item_set_id", F.col("_to")).select(*vocab.columns)
+
+
+@dataclass
+class Migration:
+    """Tables with the ids they have from now on, the map (entity, source_id, dest_id), and ids that lead nowhere (entity, column, source_id, n)."""
+
+    tables: dict[str, DataFrame]
+    id_map: DataFrame
+    unknown: DataFrame
+
+
+def migrate_tables(tables: dict[str, DataFrame], keys: dict[str, str | None], references: dict[str, dict[str, str | list[str]]], existing: dict[str, DataFrame] | None = None) -> Migration:
+    """All tables of a database with new ids, in the order of what refers to what.
+
+    keys names each table's own id, or none where nothing refers to it; references its columns that are ids of other tables, or of the
+    first of several that has it. A table keeps its ids if none is taken in existing (id, by name), else all its rows have new ones above those,
+    in the order of the old; a table may refer to itself. Ids that are null, or are found twice, are an error before anything is
+    written; those that lead nowhere become null and are reported. Each table is written once.
+    """
+    needs = {t: {r for named in references.get(t, {}).values() for r in ([named] if isinstance(named, str) else named)} for t in tables}
+    if lost := sorted({r for rs in needs.values() for r in rs if r not in tables or not keys.get(r)}):
+        raise ValueError(f"no table with ids: {', '.join(lost)}")
+    try:
+        order = list(TopologicalSorter({t: rs - {t} for t, rs in needs.items()}).static_order())
+    except CycleError as e:
+        raise ValueError(f"tables refer to each other in a circle: {e.args[1]}") from e
+    spark = next(iter(tables.values())).sparkSession
+    parts = []
+    for t in order:
+        if not keys.get(t):
+            continue
+        own = tables[t].select(F.col(keys[t]).cast("long").alias("id"))
+        n, ids, distinct = own.agg(F.count(F.lit(1)), F.count("id"), F.count_distinct("id")).first()
+        if not n == ids == distinct:
+            raise ValueError(f"{t}: {n} rows, {ids} ids, {distinct} different")
+        taken = (existing or {}).get(t)
+        if taken is None or can_keep_ids(own, taken):
+            new = own.withColumn("dest_id", F.col("id"))
+        else:
+            new = allocate_ids(own, ["id"], taken.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] + 1, "dest_id")
+        parts.append(new.select(F.lit(t).alias("entity"), F.col("id").cast("string").alias("source_id"), "dest_id"))
+    none = spark.createDataFrame([], "entity string, source_id string, dest_id long")
+    id_map = cut(reduce(lambda a, b: a.union(b), parts, none))
+    out, unknown = {}, spark.createDataFrame([], "entity string, column string, source_id string, n long")
+    for t in order:
+        refs = references.get(t, {})
+        if refs:
+            unknown = unknown.union(unknown_ids(tables[t], refs, id_map, t))
+        out[t] = cut(remap_ids(tables[t], refs | ({keys[t]: t} if keys.get(t) else {}), id_map))
+    return Migration(out, id_map, cut(unknown))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import ast
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What trim takes off unless told otherwise, and the alphabet of identifiers' check characters (fixed values).
@@ -73,6 +73,16 @@ def table(c: Column, codes: dict[str, str]) -> Column:
     return F.coalesce(F.create_map(*(F.lit(x) for kv in codes.items() for x in kv))[c], c) if codes else c
 
 
+def lookup(df: DataFrame, columns: dict[str, str], tables: dict[str, DataFrame], default: str | None = None) -> DataFrame:
+    """df with each column's codes replaced by the labels of its named table (code, label); the smallest label of several, and what a table
+    doesn't have passes through, or becomes default. Codes are compared as they are. A table is joined, by a broadcast if Spark finds it small."""
+    for col, name in columns.items():
+        t = tables[name].where("code is not null").groupBy(F.col("code").alias("_code")).agg(F.min("label").alias("_label"))
+        other = F.col(col) if default is None else F.when(F.col(col).isNotNull(), F.lit(default))
+        df = df.join(t, df[col] == t["_code"], "left").withColumn(col, F.coalesce("_label", other)).drop("_code", "_label")
+    return df
+
+
 def date_sql(c: Column) -> Column:
     """yyyymmddhhmmss as yyyy-mm-dd hh:mm:ss."""
     return F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2}).*$", "$1-$2-$3 $4:$5:$6")

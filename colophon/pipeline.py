@@ -1,64 +1,148 @@
-"""The import as a whole: from a table of entries to merged values, resources, messages and a ledger."""
+"""The import as a whole: from a table of entries to merged values, resources, media, item sets, messages and a ledger."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, entries, identifiers, ids, merge, metadata
+from . import checks, entries, identifiers, ids, merge, metadata, schema
 from .sources import INDEX
 from .store import cut
 
+#: Headers of fields that aren't properties (fixed values): what a row is, its own id, its item sets, its media, and the item of a media.
+NAME, OWN_ID, ITEM_SET, MEDIA, ITEM = "o:resource_name", "o:id", "o:item_set", "o:media", "o:item"
+ACTIONS = ("create", "append", "revise", "update", "replace", "delete")
+
 
 @dataclass
 class Import:
-    """values and resources after the import, messages of the checks, and ledger rows of what was created."""
+    """The tables after the import, messages of the checks, and ledger rows of what was created."""
 
     values: DataFrame
     resources: DataFrame
     messages: DataFrame
     ledger: DataFrame
+    media: DataFrame
+    item_sets: DataFrame
+
+
+def _message(df: DataFrame, severity: str, text: str) -> DataFrame:
+    return df.select(INDEX, F.lit(severity).alias("severity"), F.concat(F.lit(text), F.col("raw")).alias("message"))
+
+
+def _own_ids(m: DataFrame, v: DataFrame, resources: DataFrame, terms: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(own identifiers (source_index, term, pos, identifier), found (source_index, id, conflict)): by the terms in order, OWN_ID among them."""
+    own = m.where(F.col("term").isin(terms)).select(INDEX, "term", "pos", F.col("raw").alias("identifier"))
+    found = identifiers.first_match_per_resource(own, v, [t for t in terms if t != OWN_ID])
+    if OWN_ID in terms:
+        ids_ = own.where(F.col("term") == OWN_ID)
+        by_id = ids_.join(identifiers.find_by_id(ids_, resources), "identifier").groupBy(INDEX).agg(F.min("id").alias("_own"), (F.count_distinct("id") > 1).alias("_two"))
+        found = found.join(by_id, INDEX, "full").select(INDEX, F.coalesce("_own", "id").alias("id"), (F.coalesce("conflict", F.lit(False)) | F.coalesce("_two", F.lit(False)) | F.coalesce(F.col("_own") != F.col("id"), F.lit(False))).alias("conflict"))
+    return own, found
 
 
 def import_entries(
     table: DataFrame, v: DataFrame, resources: DataFrame, identifier_terms: list[str], action: str = "create", headers: dict[str, str] | None = None, separator: str | None = None,
     resource_name: str = "items", unidentified: str = "error", mode: str = "continue_on_error", vocab: DataFrame | None = None, literal_fallback: bool = True, job_id: int = 0,
+    media: DataFrame | None = None, item_sets: DataFrame | None = None,
 ) -> Import:
-    """Entries cleaned, melted by their columns' headers, identified, checked, typed and merged into the stored values v.
+    """Entries cleaned, melted by their columns' headers, identified, checked, typed and merged into the stored tables.
 
     action is create, or append, revise, update, replace or delete for entries whose identifier a stored resource has; others are an
-    error, skipped or created (unidentified). Entries with the same first identifier make one resource; each without one makes its own.
-    Links are found among the stored identifiers. mode says what becomes of errors (checks.stop_policy). Entries are numbered by
-    source_index; they and the stored tables may be read more than once. The results are written in the shared folder.
+    error, skipped or created (unidentified). Identifier terms are properties, or o:id for the id itself. Entries with the same first
+    identifier make one resource; each without one makes its own. Columns headed o:resource_name, o:item_set, o:media and o:item
+    say what a row is (resource_name otherwise), which item sets it is in, what media it has, and of which item a media is.
+
+    New entries have their ids before any value is typed, so links may go to stored resources and to any entry of the same table, earlier
+    or later; of several entries with one identifier the last counts. A link to an entry that is not imported after all is dropped with a
+    warning. Deleting takes along an item's media and the links to what is deleted. Numbers of ids may have gaps where entries
+    fail. mode says what becomes of errors (checks.stop_policy). Entries are numbered by source_index; they and the stored tables may be
+    read more than once. The results are written in the shared folder.
     """
+    if action not in ACTIONS:
+        raise ValueError(f"unknown action: {action}")
+    spark: SparkSession = table.sparkSession
+    media = schema.empty(spark, schema.MEDIA) if media is None else media
+    item_sets = schema.empty(spark, "item_id long, item_set_id long") if item_sets is None else item_sets
     e = entries.drop_empty_entries(entries.clean_entry(table, separator))
     m = cut(entries.melt(e, headers))
-    own = m.where(F.col("term").isin(identifier_terms)).select(INDEX, "term", "pos", F.col("raw").alias("identifier"))
-    found = identifiers.first_match_per_resource(own, v, identifier_terms)
+    field = lambda name: m.where(F.col("term") == name).select(INDEX, "pos", "raw")
+    own, found = _own_ids(m, v, resources, identifier_terms)
     order = F.array_position(F.array(*map(F.lit, identifier_terms)), F.col("term"))
-    first = own.groupBy(INDEX).agg(F.min_by("identifier", F.struct(order.alias("o"), "pos", "identifier")).alias("first"))
-    rows = cut(e.select(INDEX).join(found, INDEX, "left").join(first, INDEX, "left").withColumn("resource_name", F.lit(resource_name)))
+    # the key of a new resource: its first identifier, else its own index
+    first = own.where(F.col("term") != OWN_ID).groupBy(INDEX).agg(F.min_by("identifier", F.struct(order.alias("o"), "pos", "identifier")).alias("first"))
+    named = field(NAME).groupBy(INDEX).agg(F.max_by("raw", "pos").alias("_named"))
+    rows = e.select(INDEX).join(found, INDEX, "left").join(first, INDEX, "left").join(named, INDEX, "left")
+    what = F.when(F.col("_named").isNull(), F.lit(resource_name)).otherwise(metadata.normalize_resource_name(F.col("_named")))
+    rows = cut(rows.withColumns({"resource_name": what, "key": F.coalesce(F.concat(F.lit("="), "first"), F.concat(F.lit("#"), F.col(INDEX).cast("string")))}).drop("_named"))
 
-    names = v.where(F.col("term").isin(identifier_terms)).select(F.col("value").alias("identifier"), F.col("resource_id").alias("id")).join(resources.select("id", "resource_name"), "id")
-    chosen, typed = checks.choose_datatype(m, names, vocab, literal_fallback)
+    creates = action == "create" or (action != "delete" and unidentified == "create")
+    start = max(df.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] for df in (resources, media, rows)) + 1
+    unknown = rows.where("id is null") if creates else rows.where("false")
+    new = ids.allocate_ids(unknown.groupBy("key").agg(F.min(INDEX).alias("_i"), F.max_by("resource_name", INDEX).alias("name")), ["key"], start, "made")
+    rows = cut(rows.join(new.select("key", "made"), "key", "left").withColumn("resource_id", F.coalesce("id", F.when(F.col("id").isNull(), F.col("made")))).drop("made"))
+
+    # what links may go to: entries of this table, the last of several, before stored resources
+    stored = v.where(F.col("term").isin([t for t in identifier_terms if t != OWN_ID])).select(F.coalesce(F.nullif("uri", F.lit("")), "value").alias("identifier"), F.col("resource_id").alias("id")).join(resources.select("id", "resource_name"), "id").where("identifier <> ''")
+    here = own.where(F.col("term") != OWN_ID).join(rows.where("resource_id is not null").select(INDEX, "resource_id", "resource_name"), INDEX)
+    here = here.groupBy("identifier").agg(F.max_by(F.struct(F.col("resource_id").alias("id"), "resource_name"), INDEX).alias("k")).select("identifier", "k.id", "k.resource_name", F.lit(0).alias("p"))
+    stored = stored.groupBy("identifier").agg(F.min(F.struct("id", "resource_name")).alias("k")).select("identifier", "k.id", "k.resource_name", F.lit(1).alias("p"))
+    names = here.union(stored).groupBy("identifier").agg(F.min(F.struct("p", "id", "resource_name")).alias("k"))
+    names = cut(names.select("identifier", "k.id", "k.resource_name"))
+
+    columns = [c for c in table.columns if c != INDEX]
+    place = F.array_position(F.array(*map(F.lit, columns)), F.col("field")) if columns else F.lit(0)
+    properties = m.where(~F.col("term").startswith("o:")).withColumn("_field", place)
+    chosen, typed = checks.choose_datatype(properties, names, vocab, literal_fallback)
+    to = lambda x, name: x.join(names.where(F.col("resource_name") == name).select(F.col("identifier").alias("raw"), F.col("id").alias("to")), "raw", "left")
+    sets, parents = cut(to(field(ITEM_SET), "item_sets")), to(field(ITEM), "items").groupBy(INDEX).agg(F.min("to").alias("item_id"))
+    own_media = rows.where("resource_name = 'media'").join(parents, INDEX, "left").join(media.select("id", F.col("item_id").alias("_old")), "id", "left").withColumn("item_id", F.coalesce("item_id", "_old")).drop("_old")
+    own_media = cut(own_media)
     several = rows.where("conflict").select(INDEX, F.lit("err").alias("severity"), F.lit("the identifiers are of several resources").alias("message"))
-    messages = cut(checks.check_resources(rows, action, unidentified).union(several).union(typed))
-    kept = cut(checks.stop_policy(rows, messages, mode))
-
-    made = kept.where("id is null").withColumn("key", F.coalesce(F.concat(F.lit("="), "first"), F.concat(F.lit("#"), F.col(INDEX).cast("string"))))
-    if action == "delete" or (action != "create" and unidentified != "create"):
-        made = made.where("false")
-    start = max(df.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] for df in (resources, rows)) + 1
-    new = ids.allocate_ids(made.select("key").distinct(), ["key"], start, "made")
-    known = kept.where("id is not null").select(INDEX, F.col("id").alias("resource_id")).union(made.join(new, "key").select(INDEX, "made"))
-    known = cut(known)
-
-    incoming = metadata.fill_values(chosen.join(known, INDEX)).withColumn("id", F.lit(None).cast("long"))
-    terms = sorted({t.term for c in table.columns if c != INDEX for t in entries.parse_header((headers or {}).get(c, c))})
+    messages = checks.check_resources(rows, action, unidentified).union(several).union(typed).union(_message(sets.where("to is null"), "err", "unknown item set: ")).union(checks.check_media(own_media, action))
+    messages = cut(messages)
+    # an entry that is skipped has a warning, and no id
+    kept = cut(checks.stop_policy(rows, messages, mode).where("resource_id is not null"))
+
+    known = kept.select(INDEX, "resource_id")
+    if action == "delete":
+        after, values, left = merge.delete_resources(resources, v, media, known.select(F.col("resource_id").alias("id")).distinct())
+        gone = resources.select("id").join(after.select("id"), "id", "left_anti")
+        links = item_sets.join(gone, item_sets["item_id"] == gone["id"], "left_anti").join(gone, F.col("item_set_id") == gone["id"], "left_anti")
+        return Import(cut(values.select(*v.columns)), cut(after), messages, merge.record_import(resources.select("id", "resource_name").where("false"), job_id), cut(left), cut(links))
+
+    created = new.join(kept.select("key").distinct(), "key", "left_semi").select(F.col("made").alias("id"), F.col("name").alias("resource_name"))
+    # links to new entries that are not imported
+    lost = new.join(created.select(F.col("id").alias("made")), "made", "left_anti").select(F.col("made").alias("target_id"))
+    dangling = chosen.join(lost, "target_id", "left_semi").join(known, INDEX, "left_semi")
+    messages = cut(messages.union(_message(dangling, "warn", "the linked entry is not imported: ")))
+    chosen = chosen.join(lost, "target_id", "left_anti").join(known, INDEX).select(INDEX, "_field", "pos", "resource_id", "term", "type", "raw", "target_id", "lang", "is_public")
+    top = v.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+    incoming = metadata.fill_values(ids.allocate_ids(chosen, [INDEX, "_field", "pos", "term"], top + 1))
+    terms = sorted({t.term for c in columns for t in entries.parse_header((headers or {}).get(c, c)) if not t.term.startswith("o:")})
+    touched = cut(known.select("resource_id").distinct())
     # written, so that a sequence of imports doesn't work out all earlier ones again
-    values = cut(merge.upsert(v, incoming, "append" if action == "create" else action, terms, known.select("resource_id").distinct()))
-    created = new.select(F.col("made").alias("id"), F.lit(resource_name).alias("resource_name"))
-    after = resources.join(known.select(F.col("resource_id").alias("id")).distinct(), "id", "left_anti") if action == "delete" else resources
-    return Import(values, cut(after.select(*resources.columns).unionByName(created, allowMissingColumns=True)), messages, merge.record_import(created, job_id))
+    values = cut(merge.upsert(v, incoming, "append" if action == "create" else action, terms, touched))
+
+    # media of items, and media that are entries of their own
+    sent = kept.where("resource_name = 'items'").select(INDEX, F.col("resource_id").alias("item_id")).join(field(MEDIA), INDEX)
+    sent = sent.withColumn("_m", metadata.media_source(F.col("raw"))).where("_m is not null").groupBy("item_id", "_m.ingester", "_m.source").agg(F.min(F.struct(INDEX, "pos")).alias("_at"))
+    sent = cut(identifiers.match_item_media(sent, media))
+    after_ids = max(df.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] for df in (created, resources, media)) + 1
+    fresh = ids.allocate_ids(sent.where("id is null").drop("id").withColumns({"_i": F.col("_at")[INDEX], "_p": F.col("_at.pos")}).drop("_at"), ["_i", "_p", "item_id", "ingester", "source"], after_ids)
+    of_entries = own_media.join(kept.select(INDEX), INDEX, "left_semi").where("item_id is not null")
+    moved = of_entries.where("id is not null").groupBy("id").agg(F.max_by("item_id", INDEX).alias("_to"))
+    new_media = of_entries.where("id is null").groupBy(F.col("resource_id").alias("id")).agg(F.max_by("item_id", INDEX).alias("item_id"))
+    media_after = media.join(moved, "id", "left").withColumn("item_id", F.coalesce("_to", "item_id")).select(*media.columns)
+    add = lambda df: media_after.unionByName(df.select(*(c for c in df.columns if c in media.columns)), allowMissingColumns=True)
+    media_after = add(new_media)
+    media_after = cut(add(fresh.select("id", "item_id", "ingester", "source")))
+    created = cut(created.union(fresh.select("id", F.lit("media"))))
+
+    links = sets.where("to is not null").join(kept.where("resource_name = 'items'").select(INDEX, F.col("resource_id").alias("item_id")), INDEX).select("item_id", F.col("to").alias("item_set_id")).distinct()
+    links = links.join(lost.select(F.col("target_id").alias("item_set_id")), "item_set_id", "left_anti").select("item_id", "item_set_id")
+    item_sets = cut(merge.keep_links(item_sets.select("item_id", "item_set_id"), links, "update" if action in ("update", "replace") else "append"))
+    after = cut(resources.unionByName(created, allowMissingColumns=True))
+    return Import(values, after, messages, merge.record_import(created, job_id), media_after, item_sets)

@@ -14,21 +14,68 @@ def rows(df):
     return sorted(tuple(r) for r in df.select("resource_id", "term", F.coalesce("value", "uri", F.col("value_resource_id").cast("string")).alias("v")).collect())
 
 
+def unique_ids(df):
+    ids = [r["id"] for r in df.select("id").collect()]
+    return None not in ids and len(ids) == len(set(ids))
+
+
+def nothing(spark):
+    return schema.empty(spark, schema.VALUE), schema.empty(spark, "id long, resource_name string")
+
+
 def test_sequence(spark, tmp_path):
-    none, resources = schema.empty(spark, schema.VALUE), schema.empty(spark, "id long, resource_name string")
+    none, resources = nothing(spark)
     header = "dcterms:identifier,dcterms:title ~ {{ value|upper }},dcterms:relation ^^item ^^literal,dcterms:source ^^uri\n"
     got = pipeline.import_entries(read(spark, tmp_path, "a.csv", header + "a,one|two,,http://x\nb,three,nowhere,\n,,,\n,lost,,\n"), none, resources, ["dcterms:identifier"], separator="|", job_id=7)
     assert rows(got.values) == [(1, "dcterms:title", "LOST"), (2, "dcterms:identifier", "a"), (2, "dcterms:source", "http://x"), (2, "dcterms:title", "ONE"), (2, "dcterms:title", "TWO"), (3, "dcterms:identifier", "b"), (3, "dcterms:relation", "nowhere"), (3, "dcterms:title", "THREE")]
-    assert {(r["job_id"], r["entity_id"]) for r in got.ledger.collect()} == {(7, 1), (7, 2), (7, 3)} and got.messages.count() == 0
+    assert {(r["job_id"], r["entity_id"]) for r in got.ledger.collect()} == {(7, 1), (7, 2), (7, 3)} and got.messages.count() == 0 and unique_ids(got.values)
+    # ids are in the order of the source, so the first cell is the first value
+    assert [r["value"] for r in got.values.where("term = 'dcterms:title'").orderBy("id").collect()] == ["ONE", "TWO", "THREE", "LOST"]
 
     again = pipeline.import_entries(read(spark, tmp_path, "b.csv", header + "a,,b,\nz,new,,\n"), got.values, got.resources, ["dcterms:identifier"], "revise", unidentified="skip")
-    assert (2, "dcterms:relation", "3") in rows(again.values) and (2, "dcterms:title", "ONE") in rows(again.values)
+    assert (2, "dcterms:relation", "3") in rows(again.values) and (2, "dcterms:title", "ONE") in rows(again.values) and unique_ids(again.values)
     assert [(r["source_index"], r["severity"]) for r in again.messages.collect()] == [(2, "warn")] and again.resources.count() == 3
 
-    update = pipeline.import_entries(read(spark, tmp_path, "c.csv", header + "a,only,,\n"), again.values, again.resources, ["dcterms:identifier"], "update")
-    assert [r for r in rows(update.values) if r[0] == 2] == [(2, "dcterms:identifier", "a"), (2, "dcterms:title", "ONLY")]
+    update = pipeline.import_entries(read(spark, tmp_path, "c.csv", header + "a,only,b,\n"), again.values, again.resources, ["dcterms:identifier"], "update")
+    assert [r for r in rows(update.values) if r[0] == 2] == [(2, "dcterms:identifier", "a"), (2, "dcterms:relation", "3"), (2, "dcterms:title", "ONLY")]
     gone = pipeline.import_entries(read(spark, tmp_path, "d.csv", "dcterms:identifier\nb\n"), update.values, update.resources, ["dcterms:identifier"], "delete")
-    assert {r[0] for r in rows(gone.values)} == {1, 2} and gone.resources.count() == 2
+    # what linked to it doesn't any more
+    assert [r for r in rows(gone.values) if r[0] != 1] == [(2, "dcterms:identifier", "a"), (2, "dcterms:title", "ONLY")] and gone.resources.count() == 2
 
     stop = pipeline.import_entries(read(spark, tmp_path, "e.csv", header + "a,x,,\nq,y,,\n"), gone.values, gone.resources, ["dcterms:identifier"], "append", mode="stop_on_error")
     assert rows(stop.values) == rows(gone.values) and stop.messages.where("severity = 'err'").count() == 1
+    more = pipeline.import_entries(read(spark, tmp_path, "f.csv", "dcterms:identifier,dcterms:title\na,ONLY\na,more\n"), gone.values, gone.resources, ["dcterms:identifier"], "append")
+    assert [r[2] for r in rows(more.values) if r[:2] == (2, "dcterms:title")] == ["ONLY", "more"]
+    bare = pipeline.import_entries(read(spark, tmp_path, "g.csv", "o:id,dcterms:title\n2,bare\n"), more.values, more.resources, ["o:id"], "replace")
+    assert [r for r in rows(bare.values) if r[0] == 2] == [(2, "dcterms:title", "bare")]
+
+
+def test_links_within_a_table(spark, tmp_path):
+    """To earlier and later entries and to the entry itself; of two entries with one identifier the last counts; a lost one is reported."""
+    none, resources = nothing(spark)
+    header = "dcterms:identifier,dcterms:alternative,dcterms:relation ^^item ^^literal,dcterms:date ^^integer\n"
+    text = header + "x,,y,\ny,both,x,\nz,both,z,\nw,,both,\nq,,bad,\nbad,,x,no number\n"
+    got = pipeline.import_entries(read(spark, tmp_path, "a.csv", text), none, resources, ["dcterms:identifier", "dcterms:alternative"], literal_fallback=False)
+    ids = {r["value"]: r["resource_id"] for r in got.values.where("term = 'dcterms:identifier'").collect()}
+    links = {(r["resource_id"], r["value_resource_id"]) for r in got.values.where("value_resource_id is not null").collect()}
+    assert links == {(ids["x"], ids["y"]), (ids["y"], ids["x"]), (ids["z"], ids["z"]), (ids["w"], ids["z"])} and "bad" not in ids and "q" in ids
+    assert sorted((r["source_index"], r["severity"]) for r in got.messages.collect()) == [(5, "warn"), (6, "err")]
+
+
+def test_item_sets_and_media(spark, tmp_path):
+    none, resources = nothing(spark)
+    header = "dcterms:identifier,o:resource_name,o:item_set,o:media,o:item,dcterms:title\n"
+    text = header + "set,Collection,,,,A set\nit,Item,set,http://x/a.jpg|b.jpg,,An item\nme,file,,,it,A media\nlost,item,nowhere,,,Lost\nalone,media,,,,Alone\nbad,thing,,,,Bad\n"
+    got = pipeline.import_entries(read(spark, tmp_path, "a.csv", text), none, resources, ["dcterms:identifier"], separator="|")
+    ids = {r["value"]: r["resource_id"] for r in got.values.where("term = 'dcterms:identifier'").collect()}
+    assert set(ids) == {"set", "it", "me"} and {(r["id"], r["resource_name"]) for r in got.resources.collect()} >= {(ids["set"], "item_sets"), (ids["it"], "items"), (ids["me"], "media")}
+    assert [tuple(r) for r in got.item_sets.collect()] == [(ids["it"], ids["set"])]
+    media = sorted(((r["item_id"], r["ingester"] or "", r["source"] or "") for r in got.media.collect()))
+    assert media == [(ids["it"], "", ""), (ids["it"], "sideload", "b.jpg"), (ids["it"], "url", "http://x/a.jpg")] and unique_ids(got.media)
+    assert got.resources.where("resource_name = 'media'").count() == 3 and got.ledger.count() == 5
+    assert sorted(r["source_index"] for r in got.messages.where("severity = 'err'").collect()) == [4, 5, 6]
+
+    again = pipeline.import_entries(read(spark, tmp_path, "b.csv", "dcterms:identifier,o:media\nit,b.jpg|c.jpg\n"), got.values, got.resources, ["dcterms:identifier"], "append", separator="|", media=got.media, item_sets=got.item_sets)
+    assert sorted(r["source"] for r in again.media.where("source is not null").collect()) == ["b.jpg", "c.jpg", "http://x/a.jpg"] and again.item_sets.count() == 1
+    gone = pipeline.import_entries(read(spark, tmp_path, "c.csv", "dcterms:identifier\nit\n"), again.values, again.resources, ["dcterms:identifier"], "delete", media=again.media, item_sets=again.item_sets)
+    assert [r["resource_name"] for r in gone.resources.collect()] == ["item_sets"] and gone.media.count() == gone.item_sets.count() == 0 and {r[0] for r in rows(gone.values)} == {ids["set"]}
