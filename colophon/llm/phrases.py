@@ -29,14 +29,14 @@ HELD = 50
 #: Words that a task sorts before it sends them, and suffixes of a bucket: leading words with half as many are split further.
 CHUNK, BUCKET = 1_000_000, 1_000_000
 UNIT = 1_000_000
-#: Partitions of fewer suffixes are taken apart as lists, without numpy.
-FEW = 48
-_FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
+#: Partitions of fewer suffixes are taken apart in one pass, not around a pivot.
+FEW = 128
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
 
 
-def pieces(text: bytes | None) -> list[list[bytes]]:
-    """The words of each piece of a UTF-8 text, A-Z in lower case."""
-    return [w for p in (text or b"").translate(_FOLD).split(b"\n") if (w := p.split())]
+def marked(text: bytes | None) -> bytes:
+    """A UTF-8 text with A-Z in lower case, single spaces around each word, or more, and a line end as a word wherever a piece ends."""
+    return (text or b"").translate(_FOLD).replace(b"\n", b" \n ") + b" \n"
 
 
 def _folded(columns: list[np.ndarray]) -> np.ndarray:
@@ -51,40 +51,53 @@ def _folded(columns: list[np.ndarray]) -> np.ndarray:
 
 
 class _Chunk:
-    """The suffixes of some texts: codes of languages and words from 1, 0 where a piece has ended."""
+    """Some texts, and their suffixes: codes of languages and words from 1, 0 where a piece has ended."""
 
     def __init__(self) -> None:
         self.langs: dict[bytes, int] = {}
-        self.words: dict[bytes, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.lang: list[tuple[int, int]] = []
+        self.texts: list[bytes] = []
+        self.own: list[int] = []
+        self.sizes: list[int] = []
         self.size = 0
 
     def add(self, lang: bytes, text: bytes | None) -> None:
-        own, number = self.langs.setdefault(lang, len(self.langs) + 1), self.words
-        n = 0
-        for p in pieces(text):
-            codes = np.fromiter((number.setdefault(w, len(number) + 1) for w in p), np.int32, len(p))
-            self.flat += [codes, np.zeros(1, np.int32)]
-            n += len(p) + 1
-        self.lang.append((own, n))
-        self.size += n
-
-    def sorted(self, depth: int) -> tuple[list[np.ndarray], np.ndarray]:
-        """The different suffixes in order, a column for the language and one for each word, and how often each occurs."""
-        flat = np.concatenate([*self.flat, np.zeros(depth, np.int32)])
-        own, n = (np.array(x, np.int64) for x in zip(*self.lang, strict=True))
-        at = np.flatnonzero(flat[:-depth])
-        columns = [np.repeat(own, n)[at], flat[at]]
+        self.texts.append(marked(text))
+        self.own.append(self.langs.setdefault(lang, len(self.langs) + 1))
+        self.sizes.append(self.texts[-1].count(b" ") + 1)
+        self.size += self.sizes[-1]
+
+    def close(self) -> None:
+        """Words become codes: from here on flat and lang have the chunk's words and ends, and names the texts of languages and words."""
+        found = pc.split_pattern(pa.array([b" ".join(self.texts)], pa.binary()), " ").flatten().dictionary_encode()
+        words = found.dictionary
+        code = np.ones(len(words), np.int32)
+        for word, n in ((b"\n", 0), (b"", -1)):
+            if (i := pc.index(words, pa.scalar(word, pa.binary())).as_py()) >= 0:
+                code[i] = n
+        real = code == 1
+        code[real] = np.arange(1, real.sum() + 1)
+        flat = code[found.indices.to_numpy()]
+        self.lang = np.repeat(np.array(self.own), self.sizes)[flat >= 0]
+        self.flat = flat[flat >= 0]
+        self.names = pa.array([b"", *self.langs], pa.binary()), pa.concat_arrays([pa.array([b""], pa.binary()), words.filter(pa.array(real))])
+        self.texts = []
+
+    def columns(self, depth: int, often: np.ndarray | None = None) -> list[np.ndarray]:
+        """The language and the words of each suffix; often: of those only that begin with such a word (a flag for each)."""
+        flat = np.concatenate([self.flat, np.zeros(depth, np.int32)])
+        at = np.flatnonzero(flat[:-depth] if often is None else often[flat[:-depth]])
+        columns = [self.lang[at], flat[at]]
         for k in range(1, depth):
             columns.append(np.where(columns[-1] > 0, flat[at + k], 0))
-        key = _folded(columns)
-        order = np.argsort(key, kind="stable")
-        new = np.flatnonzero(np.diff(key[order], prepend=-1))
-        return [c[order[new]] for c in columns], np.diff(np.append(new, len(order)))
+        return columns
 
-    def names(self) -> tuple[pa.Array, pa.Array]:
-        return pa.array([b"", *self.langs], pa.binary()), pa.array([b"", *self.words], pa.binary())
+
+def _sorted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The different rows in order, and how often each occurs."""
+    key = _folded(columns)
+    order = np.argsort(key, kind="stable")
+    new = np.flatnonzero(np.diff(key[order], prepend=-1))
+    return [c[order[new]] for c in columns], np.diff(np.append(new, len(order)))
 
 
 def _hash(names: tuple[pa.Array, pa.Array], columns: list[np.ndarray]) -> np.ndarray:
@@ -112,9 +125,11 @@ def _chunked(docs: DataFrame, lang: str, text: str, f, schema: str, chunk: int)
             for own, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 c.add(own, t.as_py())
                 if c.size >= chunk:
+                    c.close()
                     yield from f(c)
                     c = _Chunk()
         if c.size:
+            c.close()
             yield from f(c)
 
     return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).cast("binary"), F.col(text).cast("binary")).mapInArrow(run, schema)
@@ -129,15 +144,19 @@ def survey(docs: DataFrame, n_words: int, lang: str = "lang", text: str = "text"
     share = min(1.0, bucket / 2 / max(1, n_words))
 
     def report(c: _Chunk) -> Iterator[pa.RecordBatch]:
-        columns, n = c.sorted(depth)
-        names = c.names()
-        least = max(1.0, share / 2 * n.sum())
-        for k in range(depth):
-            new = np.flatnonzero(_begins(columns[: k + 1]))
-            sizes = np.add.reduceat(n, new)
-            often = (sizes >= least) & (columns[k][new] > 0) if k else sizes > 0
-            lead = pa.nulls(len(new), pa.int64()) if not k else pa.array(_hash(names, [x[new[often]] for x in columns[: k + 1]]).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pc.take(names[0], pa.array(columns[0][new[often]])), pa.array(sizes[often], pa.int64()), lead], ["lang", "n", "lead"])
+        names = c.names
+        (langs, words) = c.columns(1)
+        least = max(1.0, share / 2 * len(words))
+        of_lang = np.bincount(langs, minlength=len(names[0]))
+        yield pa.RecordBatch.from_arrays([names[0].slice(1), pa.array(of_lang[1:], pa.int64()), pa.nulls(len(c.langs), pa.int64())], ["lang", "n", "lead"])
+        # leads of several words are only looked for where the word before leads often enough; 0 ends a piece
+        often = np.bincount(words, minlength=len(names[1])) >= least
+        often[0] = False
+        for k in range(1, depth) if often.any() else ():
+            columns, n = _sorted(c.columns(k, often))
+            hot = (n >= least) & (columns[k] > 0)
+            columns = [x[hot] for x in columns]
+            yield pa.RecordBatch.from_arrays([pc.take(names[0], pa.array(columns[0])), pa.array(n[hot], pa.int64()), pa.array(_hash(names, columns).view(np.int64))], ["lang", "n", "lead"])
 
     return cut(_chunked(docs, lang, text, report, "lang binary, n long, lead long", chunk))
 
@@ -149,13 +168,16 @@ def hot_leads(found: DataFrame, bucket: int = BUCKET) -> np.ndarray:
     return np.sort(np.array([r[0] for r in hot.select("lead").collect()], np.int64).view(np.uint64))
 
 
-def suffixes(docs: DataFrame, hot: np.ndarray, lang: str = "lang", text: str = "text", depth: int = DEPTH, chunk: int = CHUNK) -> DataFrame:
-    """Rows (lang, lead, fixed, lines): the different suffixes of a chunk with the same leading words. fixed: how many words lead them; lead:
-    their hash; lines: for each suffix its words, as many as depth, and its number, between single spaces."""
+def suffixes(docs: DataFrame, hot: np.ndarray, buckets: int, lang: str = "lang", text: str = "text", depth: int = DEPTH, chunk: int = CHUNK) -> DataFrame:
+    """Rows (bucket, lang, fixed, lines): the different suffixes of a chunk that go to a bucket, of one language, and led by so many words.
+
+    lines: for each suffix its words, as many as depth, and its number, between single spaces. There are no more rows of a chunk than leading
+    words, however many buckets there are.
+    """
 
     def send(c: _Chunk) -> Iterator[pa.RecordBatch]:
-        columns, n = c.sorted(depth)
-        names = c.names()
+        columns, n = _sorted(c.columns(depth))
+        names = c.names
         fixed, hashes = np.ones(len(n), np.int64), np.zeros(len(n), np.uint64)
         for k in range(1, depth + 1):
             # the leading words so far, of suffixes whose shorter leading words are all hot
@@ -168,54 +190,69 @@ def suffixes(docs: DataFrame, hot: np.ndarray, lang: str = "lang", text: str = "
             hashes[own] = of[np.cumsum(new) - 1]
             if k < depth:
                 fixed[own[np.isin(hashes[own], hot)]] = k + 1
-        first = np.flatnonzero(_begins([columns[0], fixed, hashes]))
-        texts = [pc.take(names[1], pa.array(x)) for x in columns[1:]]
-        lines = pc.binary_join_element_wise(*texts, pc.cast(pc.cast(pa.array(n), pa.string()), pa.binary()), b" ")
-        # runs of rows with one lead; a large one is cut, so that no row is large
+        bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(_folded([columns[0], fixed, bucket]), kind="stable")
+        texts = [pc.take(names[1], pa.array(x[order])) for x in columns[1:]]
+        lines = pc.binary_join_element_wise(*texts, pc.cast(pc.cast(pa.array(n[order]), pa.string()), pa.binary()), b" ")
+        keys = [columns[0][order], fixed[order], bucket[order]]
+        first = np.flatnonzero(_begins(keys))
+        # a large row is cut
         size = np.diff(np.append(first, len(n)))
         first = np.concatenate([np.arange(a, a + s, 65536) for a, s in zip(first.tolist(), size.tolist(), strict=True)]) if (size > 65536).any() else first
-        for i in range(0, len(first), 4096):
-            at = first[i : i + 4096]
-            end = int(first[i + 4096]) if i + 4096 < len(first) else len(n)
-            offsets = pa.array(np.append(at, end).astype(np.int32) - at[0].astype(np.int32))
+        for i in range(0, len(first), 512):
+            at = first[i : i + 512]
+            end = int(first[i + 512]) if i + 512 < len(first) else len(n)
+            offsets = pa.array((np.append(at, end) - at[0]).astype(np.int32))
             blobs = pc.binary_join(pa.ListArray.from_arrays(offsets, lines.slice(int(at[0]), end - int(at[0]))), b"\n")
-            yield pa.RecordBatch.from_arrays([pc.take(names[0], pa.array(columns[0][at])), pa.array(hashes[at].view(np.int64)), pa.array(fixed[at], pa.int32()), blobs], ["lang", "lead", "fixed", "lines"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[2][at]), pc.take(names[0], pa.array(keys[0][at])), pa.array(keys[1][at], pa.int32()), blobs], ["bucket", "lang", "fixed", "lines"])
 
-    return _chunked(docs, lang, text, send, "lang binary, lead long, fixed int, lines binary", chunk)
+    return _chunked(docs, lang, text, send, "bucket long, lang binary, fixed int, lines binary", chunk)
 
 
-def equal_partitions(keys: list[np.ndarray], weight: np.ndarray, fixed: int, least: int) -> Iterator[tuple[int, int, int]]:
+def equal_partitions(keys: list[np.ndarray], weight: np.ndarray, fixed: int, least: int, parts: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
     """(row, words, size) of a multikey three-way quicksort: for each equal partition a row of it, how many words it shares, and its weight.
 
-    keys: the language's codes, then each word's, 0 where the suffix has ended. A partition lighter than least is given up, unless it shares
-    fewer than `fixed` words: then it is a part of what lies in other buckets too.
+    keys: the language's codes, then each word's, 0 where the suffix has ended; parts: the rows, as they are dealt already. A partition
+    lighter than least is given up, unless it shares fewer than `fixed` words: then it is a part of what lies in other buckets too.
     """
     lists = [k.tolist() for k in keys]
     weights = weight.tolist()
-    todo: list[tuple] = [(np.arange(len(weight)), 0)]
+    heavy = weights.__getitem__
+    todo: list[tuple] = [(p, 0) for p in parts]
     while todo:
         rows, d = todo.pop()
-        if isinstance(rows, np.ndarray) and len(rows) < FEW:
+        if not isinstance(rows, list) and len(rows) < FEW:
             rows = rows.tolist()
         if isinstance(rows, list):
-            k = lists[d]
-            pivot = k[rows[len(rows) // 2]]
-            parts = [r for r in rows if k[r] < pivot], [r for r in rows if k[r] == pivot], [r for r in rows if k[r] > pivot]
-            sizes = [sum([weights[r] for r in p]) for p in parts]
-        else:
-            k = keys[d][rows]
-            pivot = int(np.median(k[:: len(k) // 9][:9]))
-            pivot = int(k[np.abs(k - pivot).argmin()])
-            parts = rows[k < pivot], rows[k == pivot], rows[k > pivot]
-            sizes = [int(weight[p].sum()) for p in parts]
-        for p, n in ((parts[0], sizes[0]), (parts[2], sizes[2])):
-            if len(p) and (n >= least or d < fixed):
+            # small enough to be taken apart at once
+            k, equal = lists[d], {}
+            for r in rows:
+                x = k[r]
+                if x in equal:
+                    equal[x].append(r)
+                else:
+                    equal[x] = [r]
+            for x, same in equal.items():
+                size = sum(map(heavy, same))
+                if (size >= least or d < fixed) and (d == 0 or x):
+                    if d:
+                        yield same[0], d, size
+                    if d + 1 < len(keys):
+                        todo.append((same, d + 1))
+            continue
+        k = keys[d][rows]
+        pivot = sorted((int(k[0]), int(k[len(k) >> 1]), int(k[-1])))[1]
+        under, over = k < pivot, k > pivot
+        low, high, same = rows[under], rows[over], rows[~(under | over)]
+        size = int(weight[same].sum())
+        for p in (low, high):
+            if len(p) and (d < fixed or len(p) >= least or int(weight[p].sum()) >= least):
                 todo.append((p, d))
-        if (sizes[1] >= least or d < fixed) and (d == 0 or pivot):
+        if (size >= least or d < fixed) and (d == 0 or pivot):
             if d:
-                yield int(parts[1][0]), d, sizes[1]
+                yield int(same[0]), d, size
             if d + 1 < len(keys):
-                todo.append((parts[1], d + 1))
+                todo.append((same, d + 1))
 
 
 def _count(t: pa.Table, depth: int, least: int) -> pa.Table:
@@ -240,17 +277,24 @@ def _count(t: pa.Table, depth: int, least: int) -> pa.Table:
             texts.append([b"", *words])
         lang = own["lang"].combine_chunks().dictionary_encode()
         lines = np.array([b.count(b"\n") + 1 for b in blobs])
-        keys = [np.repeat(lang.indices.to_numpy(), lines), *codes]
+        keys, weight = [np.repeat(lang.indices.to_numpy(), lines), *codes], read["n"].to_numpy()
+        # the suffixes of each lead; leads that are too light, which most are, go at once
+        lead = _folded(keys[: f + 1])
+        order = np.argsort(lead, kind="stable")
+        first = np.flatnonzero(np.diff(lead[order], prepend=-1))
+        ends = np.append(first[1:], len(order))
+        stay = (np.add.reduceat(weight[order], first) >= least) if f == 1 else np.ones(len(first), bool)
+        parts = [order[i:j] for i, j in zip(first[stay].tolist(), ends[stay].tolist(), strict=True)]
         known = lang.dictionary.to_pylist()
-        for row, words, n in equal_partitions(keys, read["n"].to_numpy(), f, least):
-            out.append((known[keys[0][row]], words, b" ".join(texts[i][codes[i][row]] for i in range(words)), n))
+        for row, words, n in equal_partitions(keys, weight, f, least, parts):
+            out.append((known[keys[0][row]], words, b" ".join([texts[i][codes[i][row]] for i in range(words)]), n))
     columns = list(zip(*out, strict=True)) or [()] * 4
     return pa.table([pa.array(c, kind) for c, kind in zip(columns, (pa.binary(), pa.int32(), pa.binary(), pa.int64()), strict=True)], ["lang", "words", "phrase", "n"])
 
 
 def counts(docs: DataFrame, hot: np.ndarray, buckets: int, lang: str = "lang", text: str = "text", depth: int = DEPTH, least: int = LEAST, chunk: int = CHUNK) -> DataFrame:
     """(lang, words, phrase, n): every phrase of 1 to depth words that occurs least times or more in a language, its words joined by spaces."""
-    sent = suffixes(docs, hot, lang, text, depth, chunk).withColumn("bucket", F.pmod("lead", F.lit(buckets)))
+    sent = suffixes(docs, hot, buckets, lang, text, depth, chunk)
     parts = sent.groupBy("bucket").applyInArrow(lambda t: _count(t, depth, least), "lang binary, words int, phrase binary, n long")
     return parts.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least).withColumns({c: F.col(c).cast("string") for c in ("lang", "phrase")})
 
@@ -284,8 +328,10 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", depth:
     kept = scored.join(holds, ["lang", "phrase"], "left").where(F.coalesce(100 * F.col("longer") < held * F.col("a"), F.lit(True)))
     kept = cut(kept.select("lang", "phrase", "a", "s.l", "s.r", "s.score"))
     order = (F.desc("score"), F.desc("a"), "phrase")
-    # first within shares of a language, so that no task ranks all of it
-    near = kept.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(shares))).withColumn("_n", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("_n") <= top)
-    ranked = near.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
+    # first within shares of a language, then of fewer, so that no task ranks all of it
+    for n in (shares, 16):
+        share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(n))).orderBy(*order)
+        kept = kept.withColumn("_n", F.row_number().over(share)).where(F.col("_n") <= top).drop("_n")
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     totals = seen.where("lead is null").groupBy(F.col("lang").cast("string").alias("lang")).agg(F.sum("n").alias("n"))
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")

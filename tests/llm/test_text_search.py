@@ -97,13 +97,16 @@ def test_spelling_follows_forms(spark):
 
 def test_crowded_reduced_forms_get_more_symbols(spark):
     """Words of letters that share a symbol are told apart by more symbols, and nothing is lost."""
-    few = spelling.alphabet(spelling.SYMBOLS)
-    alike = [c for c in spelling.LETTERS if few[spelling.LETTERS.index(c)] == few[0]][:5]
+    alike = [c for c in spelling.LETTERS if spelling.alphabet(spelling.LETTERS, 4)[ord(c)] == 1][:5]
     rng = random.Random(8)
     words = {"".join(rng.choice(alike) for _ in range(8)) for _ in range(3000)}
-    rows = spark.createDataFrame([(w, 5) for w in words], "word string, n long")
-    assert spelling.symbols_for(rows) > spelling.SYMBOLS
-    got = {(r["word"], r["other"]) for r in spelling.near_words(rows).collect()}
+    names = sorted(words)
+    rows = spark.createDataFrame([(i, w, 5) for i, w in enumerate(names)], "id long, word string, n long")
+    # 4 symbols would have room for them
+    assert 4**spelling.LENGTH > spelling.ROOM * len(words) and spelling.symbols_for(rows, spelling.LETTERS) > 4
+    got = [(names[r["id"]], r["other"]) for r in spelling.near_words(rows).collect()]
+    assert len(got) == len(set(got))
+    got = set(got)
     left = defaultdict(set)
     for w in words:
         for i in range(len(w)):
@@ -189,7 +192,7 @@ def test_equal_partitions(fixed):
         for d in (1, 2, 3):
             if key[d]:
                 want[tuple(key[: d + 1])] += n
-    got = {tuple(int(k[row]) for k in keys[: d + 1]): n for row, d, n in phrases.equal_partitions(keys, weight, fixed, 40)}
+    got = {tuple(int(k[row]) for k in keys[: d + 1]): n for row, d, n in phrases.equal_partitions(keys, weight, fixed, 40, [np.arange(3000)])}
     assert got == {p: n for p, n in want.items() if n >= 40 or len(p) - 1 < fixed}
 
 
