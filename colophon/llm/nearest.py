@@ -40,7 +40,7 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int = K) -> list[tuple[int, int, float]]:
-    """The k nearest of the rows (cid, c) for each query: (query, id, cosine), ties to the smaller id.
+    """The k nearest of the rows (cid, c) for each query: (number of the query's row, id, cosine), ties to the smaller id.
 
     The products of the int8 rows are exact whole numbers, and |a.b - a'.b'| <= |a - a'| + |b - b'| (1 + |a - a'|) for unit a, b. A pair
     survives if its upper bound reaches the k-th largest lower bound of its query; its cosine is computed from the original vectors.
@@ -77,7 +77,7 @@ def tile(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int
             ids = cid[members[begin[j] : begin[j + 1]]]
             lo, hi = np.searchsorted(ids, qid[i]), np.searchsorted(ids, qid[i], "right")
             found += [(-s, int(v)) for v in (*ids[: min(lo, k)], *ids[hi : hi + max(k - lo, 0)])]
-        out += [(int(qid[i]), v, -s) for s, v in heapq.nsmallest(k, found)]
+        out += [(i, v, -s) for s, v in heapq.nsmallest(k, found)]
     return out
 
 
@@ -86,28 +86,28 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector:
 
     Vectors that are null, zero, of no component, or hold a null or non-finite one take no part, neither as query nor as row; vectors of
     another length than a query are no candidates of it. With fewer candidates than k all are returned. Ties go to the smaller id; rows
-    that repeat an id are candidates each on their own, but ask once, with the smallest of their vectors; a null id takes no part. Every
-    block of queries meets every block of rows once, in a group of its own; each tile gives its k best for a query, and those are merged.
+    that repeat an id are candidates each on their own, and each of them asks on its own, with its own vector; a null id takes no part.
+    Every block of queries meets every block of rows once, in a group of its own; each tile gives its k best for a query, and those are merged.
     """
     kind = "array<float>" if vectors.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
     v = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast(kind).alias("v"), queries.alias("q"))
     v = v.where("size(v) > 0 and not exists(v, x -> x is null or isnan(x) or abs(x) = double('inf')) and exists(v, x -> x <> 0)")
-    v = cut(v.withColumn("dim", F.size("v")))
-    asked = v.where("q").groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    v = cut(v.withColumns({"dim": F.size("v"), "row": F.monotonically_increasing_id()}))
     n, m = v.agg(F.count(F.lit(1)), F.count_if("q")).first()
     rows, blocks = max(1, -(-n // row_block)), max(1, -(-m // query_block))
     every = lambda x: F.explode(F.sequence(F.lit(0), F.lit(x - 1)))
-    place = lambda x: F.pmod(F.xxhash64("id"), F.lit(x)).cast("int")
+    place = lambda x: F.pmod(F.xxhash64("row"), F.lit(x)).cast("int")
     right = v.select("id", "v", "dim", place(rows).alias("r"), every(blocks).alias("b"))
-    left = asked.select("id", "v", "dim", place(blocks).alias("b"), every(rows).alias("r"))
+    left = v.where("q").select("row", "id", "v", "dim", place(blocks).alias("b"), every(rows).alias("r"))
 
     def run(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
         matrix = lambda t: t["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(t.num_rows, -1)
         found = tile(x["id"].to_numpy(), matrix(x), y["id"].to_numpy(), matrix(y), k) if x.num_rows and y.num_rows else []
-        ids, near, scores = zip(*found, strict=True) if found else ((), (), ())
-        return pa.table({"query_id": pa.array(ids, pa.int64()), "id": pa.array(near, pa.int64()), "score": pa.array(scores, pa.float64())})
+        at, near, scores = zip(*found, strict=True) if found else ((), (), ())
+        own = x.select(["row", "id"]).take(pa.array(at, pa.int64()))
+        return pa.table({"row": own["row"], "query_id": own["id"], "id": pa.array(near, pa.int64()), "score": pa.array(scores, pa.float64())})
 
     key = ["dim", "r", "b"]
-    best = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, "query_id long, id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    best = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(run, "row long, query_id long, id long, score double")
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")

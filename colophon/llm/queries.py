@@ -78,7 +78,7 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near_items"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_warc, op3_language, op4_quality, op5_simhash, op6_suffix_tree, op7_line_dedup, op8_packing, op9_nearest, op10_toxicity, op11_spelling, op12_collocations, op13_decontamination)}
