@@ -182,8 +182,8 @@ def link_resource_by_nation(d):
 
 @query(f"with {_LINKS}, x as (select {COLS} from v where id not in (select vid from l) union all select a, 'dcterms:creator', {_LINK.format('b')} from l) select {COLS} from x union all select distinct x.value_resource_id, y.term, y.type, y.value, y.uri, y.value_resource_id, y.lang, y.is_public from x join x y on x.resource_id = y.resource_id where x.term = 'dcterms:creator' and y.term = 'dcterms:status' and x.value_resource_id is not null")
 def copy_value_linked(d):
-    linked = transform.link_resource(d.v, "dcterms:creator", "dcterms:identifier", match="ci")
-    return _full(transform.copy_value_linked(linked, "dcterms:creator", ["dcterms:status"]))
+    steps = [{"action": "link_resource", "params": {"source": "dcterms:creator", "identifier": "dcterms:identifier", "match": "ci"}}, {"action": "copy_value_linked", "params": {"source": "dcterms:creator", "terms": ["dcterms:status"]}}]
+    return _full(transform.transform_pipeline(d.v, steps))
 
 
 @query(f"select {COLS} from v where term not in ('dcterms:status', 'dcterms:type')")

@@ -401,3 +401,17 @@ def read_xml(d):
 def read_table(d):
     """A table with its joins and filters, cut to two columns."""
     return sources.read_table(d.sql("select * from {orders}"), ["o_orderstatus = 'O'", "c_mktsegment <> 'BUILDING'"], [(d.sql("select c_custkey as o_custkey, c_name, c_mktsegment from {customer}"), "o_custkey")], ["o_orderkey desc"], ["o_orderkey", "c_name"])
+
+
+@query("""select p_partkey as source_index, 'err' as severity, 'no type fits: ' || case when p_size % 3 = 0 then p_name else 'P' || cast(p_partkey as varchar) end as message from part where p_size % 3 = 0 or p_size % 3 = 1""")
+def choose_datatype_messages(d):
+    """Texts that are neither a number nor a known resource, without a fallback: sizes are, names and unknown identifiers aren't."""
+    m = d.sql("select p_partkey as source_index, array('numeric:integer', 'resource:item') as types, case p_size % 3 when 0 then p_name when 1 then concat('P', p_partkey) else cast(p_size as string) end as raw from {part}")
+    known = d.sql("select s_name as identifier, 100000000 + s_suppkey as id, 'items' as resource_name from {supplier}")
+    return checks.choose_datatype(m, known)[1]
+
+
+@query("""select c_custkey as resource_id, 'dcterms:subject' as term, case when c_custkey % 20 = 0 then '' else c_mktsegment end as removed, case when c_custkey % 20 = 0 then c_mktsegment else '' end as kept, case when c_custkey % 20 = 0 then '' else 'NEW ' || c_mktsegment end as added from customer union all select c_custkey, 'dcterms:identifier', '', c_name, '' from customer""")
+def diff_columns(d):
+    """A diff as a row for each property of a resource, with its removed, kept and added texts."""
+    return merge.diff_matrix(merge.diff_resources(d.v, d.new), ["dcterms:subject", "dcterms:identifier"], "column").where("resource_id < 100000000")
