@@ -79,3 +79,55 @@ def test_item_sets_and_media(spark, tmp_path):
     assert sorted(r["source"] for r in again.media.where("source is not null").collect()) == ["b.jpg", "c.jpg", "http://x/a.jpg"] and again.item_sets.count() == 1
     gone = pipeline.import_entries(read(spark, tmp_path, "c.csv", "dcterms:identifier\nit\n"), again.values, again.resources, ["dcterms:identifier"], "delete", media=again.media, item_sets=again.item_sets)
     assert [r["resource_name"] for r in gone.resources.collect()] == ["item_sets"] and gone.media.count() == gone.item_sets.count() == 0 and {r[0] for r in rows(gone.values)} == {ids["set"]}
+
+
+def test_a_sequence_of_updates(spark, tmp_path):
+    """One item, changed by every action in turn, with its media, item sets and single fields."""
+    v, r = nothing(spark)
+    state = pipeline.Import(v, r.selectExpr("*", "cast(null as string) as class", "cast(null as string) as template", "cast(null as boolean) as is_public"), None, None, None, None)
+    n = 0
+
+    def step(action, text, terms=("dcterms:identifier", "dcterms:title"), **how):
+        nonlocal state, n
+        n += 1
+        state = pipeline.import_entries(read(spark, tmp_path, f"{n}.csv", text), state.values, state.resources, list(terms), action, separator="|", media=state.media, item_sets=state.item_sets, **how)
+        assert unique_ids(state.values) and unique_ids(state.resources) and state.messages.where("severity = 'err'").count() == 0
+        out = {}
+        for x in state.values.where("resource_id = 1").orderBy("id").collect():
+            out.setdefault(x["term"].removeprefix("dcterms:"), []).append(x["value"])
+        return out
+
+    def fields(i=1):
+        x = state.resources.where(f"id = {i}").first()
+        return x["class"], x["template"], x["is_public"]
+
+    media = lambda: sorted(x["source"][-1] for x in state.media.collect())
+    sets = lambda: sorted(x["item_set_id"] for x in state.item_sets.where("item_id = 1").collect())
+    head = "dcterms:title,dcterms:description,dcterms:identifier,dcterms:publisher,dcterms:rights,dcterms:subject,o:media\n"
+    new = step("create", "dcterms:title,dcterms:creator,dcterms:description,dcterms:subject,o:media\nPond,H,old,book|classic,http://m/1|http://m/2\n")
+    assert new == {"title": ["Pond"], "creator": ["H"], "description": ["old"], "subject": ["book", "classic"]} and media() == ["1", "2"]
+    step("create", "dcterms:identifier\nset1\nset2\nissn: 9\n", resource_name="item_sets")
+    ids = {x["value"]: x["resource_id"] for x in state.values.where("term = 'dcterms:identifier'").collect()}
+    assert step("skip", head + "Pond,SKIPPED,,,,,\n") == new
+    got = step("append", head + "Pond|Pond; or,new,doc:p,T,,book|NE|wild,http://m/2|http://m/1\n")
+    assert got == {"title": ["Pond", "Pond; or"], "creator": ["H"], "description": ["old", "new"], "identifier": ["doc:p"], "publisher": ["T"], "subject": ["book", "classic", "NE", "wild"]} and media() == ["1", "2"]
+    got = step("revise", head + "Pond|Pond; or,All,doc:p,,PD|Ev,book|NE|wild|novel,\n")
+    assert got == {"title": ["Pond", "Pond; or"], "creator": ["H"], "description": ["All"], "identifier": ["doc:p"], "publisher": ["T"], "rights": ["PD", "Ev"], "subject": ["book", "NE", "wild", "novel"]} and media() == ["1", "2"]
+    got = step("update", head + "Pond|Pond; or,All,doc:p,,PD,book,http://m/1|http://m/2\n")
+    assert got == {"title": ["Pond", "Pond; or"], "creator": ["H"], "description": ["All"], "identifier": ["doc:p"], "rights": ["PD"], "subject": ["book"]}
+    got = step("replace", "dcterms:title,dcterms:creator,dcterms:description,o:media\nPond,T H,,http://m/3|http://m/2\n")
+    assert got == {"title": ["Pond"], "creator": ["T H"]} and media() == ["2", "3"] and state.resources.where("resource_name = 'media'").count() == 2
+    assert step("replace", "dcterms:title,dcterms:creator\nPond,T H\n") == got and media() == ["2", "3"]
+    step("replace", "dcterms:identifier,o:resource_template,o:resource_class,o:is_public,dcterms:title\nset1,Base,Set,no,First\n")
+    assert fields(ids["set1"]) == ("Set", "Base", False) and fields(ids["set2"]) == (None, None, None)
+    whole = "dcterms:identifier,o:resource_template,o:resource_class,o:is_public,o:item_set,dcterms:title,dcterms:description,dcterms:description,dcterms:subject\n"
+    got = step("replace", whole + "p,Base,,Yes,issn: 9,Pond|Pond; or,one|two,three,book\n")
+    assert got == {"identifier": ["p"], "title": ["Pond", "Pond; or"], "description": ["one", "two", "three"], "subject": ["book"]} and fields() == (None, "Base", True) and sets() == [ids["issn: 9"]]
+    got = step("append", whole + "p,,Text,,set2,Pond,two,,novel\n")
+    assert got["description"] == ["one", "two", "three"] and got["subject"] == ["book", "novel"] and fields() == ("Text", "Base", True) and sets() == sorted([ids["issn: 9"], ids["set2"]])
+    got = step("revise", whole + "p,,,No,set1,Pond (revised),,,\n")
+    assert got["title"] == ["Pond (revised)"] and got["subject"] == ["book", "novel"] and fields() == ("Text", "Base", False) and len(sets()) == 3
+    got = step("update", whole + "p,,Text,,set2,Pond|Pond; or,,,book\n")
+    assert got == {"identifier": ["p"], "title": ["Pond", "Pond; or"], "subject": ["book"]} and fields() == ("Text", None, False) and sets() == [ids["set2"]]
+    step("delete", "dcterms:title\nPond\n", terms=["dcterms:title"])
+    assert state.values.where("resource_id = 1").count() == state.media.count() == state.item_sets.count() == 0 and state.resources.count() == 3
