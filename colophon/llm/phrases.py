@@ -215,30 +215,11 @@ def equal_partitions(keys: list[np.ndarray], weight: np.ndarray, fixed: int, lea
     keys: the language's codes, then each word's, 0 where the suffix has ended; parts: the rows, as they are dealt already. A partition
     lighter than least is given up, unless it shares fewer than `fixed` words: then it is a part of what lies in other buckets too.
     """
-    lists = [k.tolist() for k in keys]
-    weights = weight.tolist()
-    heavy = weights.__getitem__
-    todo: list[tuple] = [(p, 0) for p in parts]
+    todo = [(p, 0) for p in parts]
     while todo:
         rows, d = todo.pop()
-        if not isinstance(rows, list) and len(rows) < FEW:
-            rows = rows.tolist()
-        if isinstance(rows, list):
-            # small enough to be taken apart at once
-            k, equal = lists[d], {}
-            for r in rows:
-                x = k[r]
-                if x in equal:
-                    equal[x].append(r)
-                else:
-                    equal[x] = [r]
-            for x, same in equal.items():
-                size = sum(map(heavy, same))
-                if (size >= least or d < fixed) and (d == 0 or x):
-                    if d:
-                        yield same[0], d, size
-                    if d + 1 < len(keys):
-                        todo.append((same, d + 1))
+        if len(rows) < FEW:
+            yield from _few([k[rows].tolist() for k in keys[d:]], weight[rows].tolist(), rows.tolist(), d, fixed, least)
             continue
         k = keys[d][rows]
         pivot = sorted((int(k[0]), int(k[len(k) >> 1]), int(k[-1])))[1]
@@ -255,6 +236,27 @@ def equal_partitions(keys: list[np.ndarray], weight: np.ndarray, fixed: int, lea
                 todo.append((same, d + 1))
 
 
+def _few(keys: list[list[int]], weight: list[int], rows: list[int], depth: int, fixed: int, least: int) -> Iterator[tuple[int, int, int]]:
+    """As equal_partitions, of few rows that share `depth` words, with their keys from there on: each partition is taken apart in one pass."""
+    todo: list[tuple] = [(range(len(rows)), 0)]
+    while todo:
+        part, i = todo.pop()
+        k, d, equal = keys[i], depth + i, {}
+        for r in part:
+            x = k[r]
+            if x in equal:
+                equal[x].append(r)
+            else:
+                equal[x] = [r]
+        for x, same in equal.items():
+            size = sum([weight[r] for r in same])
+            if (size >= least or d < fixed) and (d == 0 or x):
+                if d:
+                    yield rows[same[0]], d, size
+                if i + 1 < len(keys):
+                    todo.append((same, i + 1))
+
+
 def _count(t: pa.Table, depth: int, least: int) -> pa.Table:
     """(lang, words, phrase, n) of a bucket's suffixes."""
     out = []
