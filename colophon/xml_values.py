@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from xml.sax.saxutils import escape, quoteattr
 
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,10 +183,6 @@ def extract_xml_values(records: DataFrame, key: str, record: str = "record") ->
             names = [key, "part", "part_name", "pos", "kind", "term", "type", "value", "uri", "lang", "is_public"]
             yield pa.RecordBatch.from_arrays([pa.array(keys, b.schema.field(0).type), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
 
-    import colophon
-
-    # parsing goes to the executors with the job
-    cloudpickle.register_pickle_by_value(colophon)
     return records.select(key, record).mapInArrow(run, f"`{key}` {kind}, {SCHEMA}")
 
 
