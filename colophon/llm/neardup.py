@@ -9,12 +9,13 @@ shingle sets themselves, made again from the texts, are similar enough.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, cut, fresh, small
@@ -23,6 +24,8 @@ from .simhash import links, majority
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 3
+#: Classes of sizes within the factor that two similar sets' sizes may differ by.
+CLASSES = 8
 SEED = 42
 _rng = np.random.default_rng(SEED)
 #: Of each minhash a mask and an odd factor, of each row of a band an odd factor.
@@ -96,8 +99,8 @@ def _alike(pairs: DataFrame, docs: DataFrame, own: DataFrame, text: str, similar
     return sides.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long")
 
 
-def _shared(sets: DataFrame) -> DataFrame:
-    """(set, size, shared) of sets (set, s): the number of shingles, and of those that another of these sets has too."""
+def _rows(sets: DataFrame) -> DataFrame:
+    """(set, h): the shingles of sets (set, s), a row each."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -105,11 +108,39 @@ def _shared(sets: DataFrame) -> DataFrame:
                 h = np.frombuffer(v.as_buffer(), "<i8")
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), k)), pa.array(h)], ["set", "h"])
 
-    alone = sets.mapInArrow(each, "set long, h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("set").alias("set")).where("n = 1").groupBy("set").agg(F.count(F.lit(1)).alias("alone"))
+    return sets.mapInArrow(each, "set long, h long")
+
+
+def _shared(sets: DataFrame) -> DataFrame:
+    """(set, size, shared) of sets (set, s): the number of shingles, and of those that another of these sets has too."""
+    alone = _rows(sets).groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("set").alias("set")).where("n = 1").groupBy("set").agg(F.count(F.lit(1)).alias("alone"))
     size = (F.octet_length("s") / 8).cast("long")
     return sets.select("set", size.alias("size")).join(alone, "set", "left").select("set", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
+def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(set, size, shared, h, low, high): keys of which two sets (set, s) that are similar enough have one in common, and few others have.
+
+    Sizes are dealt to CLASSES classes for each step that similarity allows between two sizes; low and high are the classes of the two
+    sets of a pair. A set of n shingles has at least similarity / (1 + similarity) * (n + m) in common with a similar one of m, and m is
+    at least the least size of its class. So if shingles are put in one order, the rarest first, the first shingle that both have is
+    among the first n + 1 less that number of either. Shingles that no other set has come first and need no key; a set that has too
+    many of them for a class has no keys for it.
+    """
+    rows = cut(_rows(sets))
+    common = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    of_set = Window.partitionBy("set")
+    x = rows.join(common, "h").select("set", "h", F.count(F.lit(1)).over(of_set).alias("shared"), F.row_number().over(of_set.orderBy("n", "h")).alias("rank"))
+    x = x.join(sets.select("set", (F.octet_length("s") / 8).cast("long").alias("size")), "set")
+    step = max(math.log(1 / similarity) / CLASSES, 1e-9)
+    own = F.floor(F.log("size") / step)
+    # the slack is for products that are whole numbers but for their last bits
+    needed = lambda b: F.ceil((F.col("size") + F.greatest(F.exp(b * step), F.col("size") * similarity)) * (similarity / (1 + similarity)) - 1e-6)
+    classes = F.filter(F.sequence(own - CLASSES, own + CLASSES), lambda b: F.col("rank") <= F.col("shared") - needed(b) + 1)
+    x = x.where(F.col("rank") <= F.col("shared") - F.ceil(F.col("size") * similarity - 1e-6) + 1).withColumns({"own": own, "other": F.explode(classes)})
+    return x.select("set", "size", "shared", "h", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+
+
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -120,9 +151,9 @@ def near_sets(docs: DataFrame, own: DataFrame, text: str = "text", similarity: f
     First every set is compared with one hub of each block (the sets that share a fingerprint or a band) that it is in, and the hubs of
     linked fingerprints with each other. A band's hub is the member with the largest blocks altogether: the text that its near copies
     have most in common with. What is then left to find are pairs of members of a band's block that are not in one component yet. A set
-    is part of none if too many of its shingles stand in no other set that is left; of the others those pairs are compared that their
-    sizes, and the numbers of their shingles that others have too, leave possible. So no link is left out, and a large group of near
-    copies costs about its size in comparisons, not its square.
+    is part of none if too many of its shingles stand in no other set that is left; of the others those pairs are made that have one of
+    their rarest shingles in common, as every pair of that similarity has (_prefixes). So no link is left out, a large group of near
+    copies costs about its size in comparisons, not its square, and different texts that share a band only cost no pairs at all.
     """
     sets = own.where(F.size("bands") > 0).groupBy("set").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     prints = cut(sets.groupBy("fp").agg(F.min("set").alias("hub")))
@@ -140,18 +171,25 @@ def near_sets(docs: DataFrame, own: DataFrame, text: str = "text", similarity: f
     roots = cut(components(found))
     # blocks of two are settled
     left = cut(keys.where("n > 2").select("band", "key", "set").join(roots, F.col("set") == F.col("node"), "left").select("band", "key", "set", F.coalesce("root", "set").alias("root")))
-    sizes = left.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("size"))
-    open_ = sizes.groupBy("band", "key").agg(F.max(F.struct("size", "root")).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "key", F.col("m.root").alias("top"))
-    left = cut(left.join(open_, ["band", "key"]).select("band", "key", "top", "set", "root"))
-    known = cut(_shared(_texts(left.select("set").distinct(), docs, own, text)).where(F.col("shared") >= similarity * F.col("size")))
-    left = left.join(known, "set")
+    apart = left.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("band", "key")
+    left = cut(left.join(apart, ["band", "key"]).select("set", "root").distinct())
+    sets = _texts(left.select("set"), docs, own, text)
+    sets = cut(sets.join(_shared(sets).where(F.col("shared") >= similarity * F.col("size")).select("set"), "set"))
+    return components(found.union(_alike(cut(_apart(sets, left, similarity).join(tried, ["a", "b"], "left_anti")), docs, own, text, similarity)))
+
+
+def _apart(sets: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of sets (set, s) of different components (set, root) that may be similar enough: all that are, and few others."""
+    key = ["h", "low", "high"]
+    x = cut(_prefixes(sets, similarity).join(roots, "set"))
+    sizes = x.groupBy(*key, "root").agg(F.count(F.lit(1)).alias("n"))
+    open_ = sizes.groupBy(*key).agg(F.max(F.struct("n", "root")).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select(*key, F.col("m.root").alias("top"))
+    x = cut(x.join(open_, key))
     # of two members apart, one at least is outside the component with the most members here
-    side = lambda df, x: df.select("band", "key", "top", F.col("set").alias(x), F.col("root").alias(f"r{x}"), F.col("size").alias(f"n{x}"), F.col("shared").alias(f"s{x}"))
-    out, every = side(left.where("root <> top"), "x").drop("top"), side(left, "y")
-    possible = F.least("sx", "sy") * (1 + similarity) >= similarity * (F.col("nx") + F.col("ny"))
-    rest = out.join(every, ["band", "key"]).where("rx <> ry and (ry = top or x < y)").where(possible).select(*_pair("x", "y")).distinct()
-    rest = cut(rest.join(tried, ["a", "b"], "left_anti"))
-    return components(found.union(_alike(rest, docs, own, text, similarity)))
+    side = lambda df, s: df.select(*key, "top", F.col("set").alias(s), F.col("root").alias(f"r{s}"), F.col("size").alias(f"n{s}"), F.col("shared").alias(f"s{s}"))
+    out, every = side(x.where("root <> top"), "x").drop("top"), side(x, "y")
+    possible = F.least("sx", "sy") * (1 + similarity) >= similarity * (F.col("nx") + F.col("ny")) - 1e-6
+    return out.join(every, key).where("rx <> ry and (ry = top or x < y)").where(possible).select(*_pair("x", "y")).distinct()
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:

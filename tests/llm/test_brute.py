@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from colophon.llm import langid, linededup, mixing, nearest, packing, quality, queries, simhash, suffixtree, toxicity, warc
+from colophon.llm import langid, linededup, mixing, nearest, neardup, packing, quality, queries, simhash, suffixtree, toxicity, warc
 
 DIR = "/root/testdata/sf0.001"
 BLANK = re.compile("[\x20\x09-\x0d]+")
@@ -92,6 +92,62 @@ def test_quality_held_out(spark):
     assert rate[1] > 0.99 and rate[0] < 0.1
 
 
+# near-duplicates
+
+
+def test_near_dedup_of_a_crowded_block(spark, monkeypatch):
+    """20,000 different texts with a passage in common are in one block: every planted pair is found, and few others are made."""
+    rng = random.Random(5)
+    passage = [rng.choice(VOCABULARY) + str(rng.randrange(900)) for _ in range(100)]
+    own = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    texts = [" ".join(passage + own(rng.randrange(10, 40))) for _ in range(20_000)]
+    pairs = set()
+    for i in range(40):
+        # a text of which one loses its last words: still alike, or just not
+        t = words(texts[i])
+        texts.append(" ".join(t[: len(t) - rng.randrange(1, 45)]))
+        pairs.add((i, len(texts) - 1))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(8)
+    sig = neardup.cut(neardup.signatures(docs).withColumn("bands", F.array(F.lit(1).cast("long"))))
+    made, apart = [], neardup._apart
+    monkeypatch.setattr(neardup, "_apart", lambda *a: made.append(neardup.cut(apart(*a))) or made[0])
+    got = neardup.near_sets(docs, sig)
+    root = {r["id"]: r["root"] for r in sig.join(got, F.col("set") == F.col("node")).collect()}
+    sets = {i: set(neardup.shingles(texts[i].encode()).tolist()) for pair in pairs for i in pair}
+    alike = {(a, b) for a, b in pairs if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert 5 < len(alike) < 40
+    # cut texts are like each other too, as the passage is most of them
+    assert all(root.get(a) is not None and root.get(a) == root.get(b) for a, b in alike)
+    assert made[0].count() < 2_000_000
+
+
+def test_near_sets_against_all_pairs(spark):
+    """Random subsets of few shingles, all in one block: the components are those of every pair that is similar enough."""
+    for similarity, seed in ((0.8, 1), (0.8, 2), (0.5, 3)):
+        rng = random.Random(seed)
+        base = [[f"v{rng.randrange(400)}" for _ in range(rng.randrange(5, 70))] for _ in range(25)]
+        texts = [" ".join(w for w in rng.choice(base) if rng.random() > 0.02) + f" x{rng.randrange(3)}" * rng.randrange(4) for _ in range(260)]
+        docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+        sig = neardup.cut(neardup.signatures(docs).withColumn("bands", F.when(F.size("bands") > 0, F.array(F.lit(1).cast("long"))).otherwise(F.col("bands"))))
+        root = {r["id"]: r["root"] for r in sig.join(neardup.near_sets(docs, sig, similarity=similarity), F.col("set") == F.col("node")).collect()}
+        own = {r["id"]: r["set"] for r in sig.collect()}
+        sets = [set(neardup.shingles(t.encode()).tolist()) for t in texts]
+        want = {i: i for i in range(len(texts))}
+
+        def find(i, want=want):
+            while want[i] != i:
+                i = want[i]
+            return i
+
+        for a in range(len(texts)):
+            for b in range(a):
+                if sets[a] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                    want[find(a)] = find(b)
+        groups = lambda of: sorted(sorted(g) for g in {k: [i for i in range(len(texts)) if of(i) == k] for k in map(of, range(len(texts)))}.values())
+        # fingerprints may link more than the block does, but only what is similar
+        assert groups(lambda i: root.get(i, own[i])) == groups(find)
+
+
 # mixing
 
 
