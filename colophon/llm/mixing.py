@@ -14,6 +14,8 @@ BLOCK_TOKENS = 1 << 20
 #: Documents in a slice of a source's permutation: slices are summed first, so that no source is put in order as a whole.
 SLICE_ROWS = 4096
 SEED = 17
+#: Equal rows that are numbered by one task.
+COPIES = 4096
 #: Steps of bisection in one pass over the sources, and passes.
 LEVELS, PASSES = 5, 5
 #: Source tables up to this many rows are broadcast; larger ones are joined by a shuffle.
@@ -98,14 +100,24 @@ def source_weights(shares: DataFrame, exponent: float, budget: int | None = None
     return x.withColumn("quota", place(F.col("_end")) - place(F.col("_end") - F.col("_units"))).select(*shares.columns, "weight", "quota")
 
 
+def _numbered(d: DataFrame) -> DataFrame:
+    """d with a number, from 1, for each of its equal rows: they are counted, and made again from their counts by many tasks."""
+    c = d.groupBy(*d.columns).agg(F.count(F.lit(1)).alias("_n"))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES)))
+    c = c.withColumn("_part", part).repartition(*d.columns, "_part")
+    copies = F.sequence(F.col("_part") * COPIES + 1, F.least("_n", (F.col("_part") + 1) * COPIES))
+    return c.select(*d.columns, F.explode(copies).alias("copy"))
+
+
 def draw(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", max_repeat: float | None = MAX_REPEAT, target_entropy: float | None = None, budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(id, source, n_tokens, epoch, block, place): the mixture, a row for each time that a document is drawn.
 
     A source of quota q is gone through in epochs, each a permutation of all its documents, until q tokens are drawn; the document
     that reaches the quota is drawn whole. Positions in its source's quota spread a source evenly over the blocks, and a block is
-    permuted as a whole: place counts from 1. Tokens are words. Documents without a word have no tokens: they take no part. Rows that
-    repeat are drawn each on their own; a null source is a source. Ties of the permutation go to the smaller id. Other columns are
-    not read. No source is sorted in one task: its permutation is cut into slices of about slice_rows documents, which are summed.
+    permuted as a whole: place counts from 1. Tokens are words. Documents without a word have no tokens: they take no part. A null
+    source is a source, a null id an id. Rows that repeat, or repeat an id, are drawn each on their own: equal ones are numbered, and the
+    permutation is by id, tokens and number, so it is the same in every run and spreads them over the slices. Ties of it go to the smaller
+    id, then to fewer tokens. Other columns are not read. No source is sorted in one task: its permutation is cut into slices of about slice_rows documents, which are summed.
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("n_tokens")).where("n_tokens > 0")
     d = cut(d)
@@ -115,14 +127,15 @@ def draw(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text:
     weights = weights.withColumn("blocks", F.lit(max(1, -(-quota // block_tokens)))).withColumnRenamed("source", "s")
     small = F.broadcast(weights) if weights.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else weights
     epochs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1) / F.col("tokens")))
-    x = d.join(small, F.col("source").eqNullSafe(F.col("s"))).where("quota > 0").drop("s").withColumn("epoch", F.explode(epochs))
-    x = x.withColumn("order", permuted(seed, F.col("epoch"), F.col("id"))).withColumn("slice", _part(F.col("order") / F.lit(float(1 << 60)), F.col("slices")))
+    x = _numbered(d).join(small, F.col("source").eqNullSafe(F.col("s"))).where("quota > 0").drop("s").withColumn("epoch", F.explode(epochs))
+    row = (F.col("epoch"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("n_tokens"), F.col("copy"))
+    x = x.withColumn("order", permuted(seed, *row)).withColumn("slice", _part(F.col("order") / F.lit(float(1 << 60)), F.col("slices")))
     key = ["source", "epoch", "slice"]
     before = x.groupBy(*key).agg(F.sum("n_tokens").alias("_n")).withColumn("_before", F.sum("_n").over(Window.partitionBy("source", "epoch").orderBy("slice")) - F.col("_n")).drop("_n")
-    within = F.sum("n_tokens").over(Window.partitionBy(*key).orderBy("order", "id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
+    within = F.sum("n_tokens").over(Window.partitionBy(*key).orderBy("order", "id", "n_tokens", "copy").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")
     x = x.withColumn("_within", within).join(before.select(*(F.col(k).alias(f"_{k}") for k in key), "_before"), F.col("source").eqNullSafe(F.col("_source")) & (F.col("epoch") == F.col("_epoch")) & (F.col("slice") == F.col("_slice")))
     x = x.withColumn("position", F.col("epoch") * F.col("tokens") + F.col("_before") + F.col("_within")).where("position < quota")
     x = x.withColumn("block", _part(F.col("position") / F.col("quota"), F.col("blocks")))
-    x = x.withColumn("_order", permuted(seed + 1, F.col("epoch"), F.col("id")))
+    x = x.withColumn("_order", permuted(seed + 1, *row))
     x = x.withColumn("place", F.row_number().over(Window.partitionBy("block").orderBy("_order", "id", "epoch", "position")).cast("long"))
     return x.select(F.col("id").alias(id_col), F.col("source").alias(source), "n_tokens", "epoch", "block", "place")

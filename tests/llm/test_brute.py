@@ -176,7 +176,7 @@ def brute_draw(rows, max_repeat=2.0, budget=None, block_tokens=1000, seed=mixing
     for s, q in quota.items():
         at, epoch = 0, 0
         while at < q:
-            for d, _, n in sorted((r for r in rows if r[1] == s), key=lambda r: (digits(seed, epoch, r[0]), r[0])):
+            for d, _, n in sorted((r for r in rows if r[1] == s), key=lambda r: (digits(seed, epoch, r[0], r[2], 1), r[0])):
                 if at < q:
                     out.append((d, s, epoch, min(int(at / q * blocks), blocks - 1)))
                 at += n
@@ -193,6 +193,23 @@ def test_mixing(spark):
         assert sorted(got) == sorted(brute_draw(rows))
 
 
+def test_mixing_of_rows_without_ids(spark):
+    """A source of rows with null or equal ids is dealt over its slices, and its order doesn't depend on where its rows lie."""
+    rows = [(None, "a", "w " * (1 + i % 3)) for i in range(9_000)] + [(7, "a", "w")] * 3_000 + [(i, "b", "w w") for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = [mixing.draw(x, block_tokens=1000, slice_rows=100).cache() for x in (docs.repartition(1), docs.repartition(7))]
+    columns = ["doc_id", "source", "n_tokens", "epoch", "block", "place"]
+    a, b = (Counter(tuple(r) for r in x.select(columns).collect()) for x in got)
+    assert a == b
+    assert Counter(k[0] for k, n in a.items() for _ in range(n) if k[3] == 0 and k[1] == "a") == {None: 9_000, 7: 3_000}
+    numbered = mixing._numbered(docs.select("source", F.size(F.split(F.trim("text"), " ")).alias("n")))
+    assert numbered.groupBy("source", "n").agg(F.count("*").alias("k"), F.count_distinct("copy").alias("d"), F.max("copy").alias("m")).where("k <> d or k <> m").count() == 0
+    # every block has its share of them: no slice is one null id's whole run
+    blocks = Counter(k[4] for k in a.elements() if k[0] is None)
+    total = Counter(k[4] for k in a.elements())
+    assert all(0.2 * total[k] < blocks[k] for k in list(total)[:-1])
+
+
 def test_mixing_budget(spark):
     """Quotas add up to the budget, whatever its size."""
     docs = spark.range(30).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 10).alias("source"), F.lit("a b c").alias("text"))
