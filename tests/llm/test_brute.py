@@ -83,6 +83,30 @@ def test_quality(spark):
     assert all(abs(got[d][0] - want[d][0]) < 1e-5 for d in docs)
 
 
+def test_quality_learns_from_all(spark):
+    """Every trusted document counts, however many ids are trusted; rows without an id, and ids that are repeated or have no document."""
+    rng = random.Random(6)
+    docs = {i: " ".join(rng.choice(VOCABULARY[: 13 - 9 * (i % 3 == 0)]) + str(rng.randrange(9)) for _ in range(rng.randrange(40))) for i in range(120)}
+    trusted = {i for i in docs if i % 3 and i % 2}
+    rows = spark.createDataFrame([*docs.items(), (None, None)], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in [*trusted, *trusted, None]], "doc_id long").union(spark.range(1000, 301_000).toDF("doc_id"))
+    got = {r["doc_id"]: (r["llr"], r["kept"]) for r in quality.score_quality(rows, ids).collect()}
+    want = brute_ratio(docs, trusted)
+    assert got.pop(None) == (0.0, False)
+    assert {d: k for d, (_, k) in got.items()} == {d: k for d, (_, k) in want.items()}
+    assert all(abs(got[d][0] - want[d][0]) < 1e-5 for d in docs)
+
+
+def test_quantiles(spark):
+    """As F.percentile, with ties, negative values and values on the edges of bins."""
+    rng = random.Random(7)
+    shares = [0.0, 0.005, 0.3, 0.5, 1.0]
+    for x in ([0.25], [-1.0, 2.0], [-0.0, 0.0, 0.001], [rng.gauss(0, 2) for _ in range(999)] + [0.5] * 300, [k / 1000 for k in range(-50, 50)] * 3):
+        df = spark.createDataFrame([(v,) for v in x], "v double")
+        assert quality.quantiles(df, shares) == df.agg(F.percentile("v", shares)).first()[0]
+    assert quality.quantiles(spark.createDataFrame([], "v double"), shares) == []
+
+
 def test_quality_held_out(spark):
     """Labelled documents that nothing was learned from: good ones stay, bad ones go."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
