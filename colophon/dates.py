@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,46 +11,55 @@ from pyspark.sql import functions as F
 YEARS = (-292277022656, 292277026595)
 UNKNOWN_DATES = ("0000-00-00", "2038-01-01")
 
-_ISO = r"^(-?\d+)(?:-(\d\d))?(?:-(\d\d))?((?:T(\d\d))?(?::(\d\d))?(?::(\d\d))?)((?:[+-]\d\d)?(?::?\d\d)?|Z)$"
+#: Year, month, day, hour, minute, second and offset, each in its range: an hour needs a day and an offset a time.
+_ISO = (r"^(-?\d+)(?:-(0[1-9]|1[0-2])(?:-(0[1-9]|[12]\d|3[01])(?:T([01]\d|2[0-3]))?)?)?(?::([0-5]\d))?(?::([0-5]\d))?"
+        r"((?<=[T:]\d\d)(?:[+-](?:[01]\d|2[0-3])(?::?[0-5]\d)?|:?(?:[01]\d|2[0-3])|Z))?$")
+_PARTS = {"year": "long", "month": "int", "day": "int", "hour": "int", "minute": "int", "second": "int", "offset": "string"}
 #: Days and years of the Gregorian calendar's cycle.
 _CYCLE_DAYS, _CYCLE = 146097, 400
 
 
+def _once(col: Column, made: Callable[[Column], Column]) -> Column:
+    """made(col), with col worked out once for each row, however often made takes it: Spark would write it out at each place."""
+    return F.transform(F.array(col), made)[0]
+
+
 def iso_parse(col: Column, default_first: bool = True) -> Column:
     """Struct (year, month, day, hour, minute, second, offset, epoch, precision), null unless the text is such a date.
 
     Parts that the text lacks are null; the epoch takes the first instant of the period, or the last one if not default_first. An hour
     needs a day and an offset a time. Days up to 31 fit each month and run on into the next. precision counts the parts, 1 to 6.
     """
-    part = lambda i: F.nullif(F.regexp_extract(col, _ISO, i), F.lit(""))
-    year = part(1).try_cast("long")
-    month, day, hour, minute, second = (part(i).cast("int") for i in (2, 3, 5, 6, 7))
-    time, offset = part(4), part(8)
     at = lambda c, low, high: F.coalesce(c, F.lit(low if default_first else high))
-    m, h, mi, s = at(month, 1, 12), at(hour, 0, 23), at(minute, 0, 59), at(second, 0, 59)
-    # the calendar repeats every 400 years, so a year of the cycle from 2000 on stands for all that share its place there
-    alias = F.pmod(year, F.lit(_CYCLE)) + 2000
-    first = F.make_date(alias.cast("int"), F.least(F.greatest(m, F.lit(1)), F.lit(12)), F.lit(1))
-    d = F.coalesce(day, F.lit(1) if default_first else F.dayofmonth(F.last_day(first)))
-    days = F.unix_date(first) + d - 1 + F.call_function("div", year - alias, F.lit(_CYCLE).cast("long")) * _CYCLE_DAYS
-    digits = F.regexp_replace(F.coalesce(offset, F.lit("")), "[^0-9]", "")
-    oh, om = (F.coalesce(F.nullif(F.substring(digits, k, 2), F.lit("")).cast("int"), F.lit(0)) for k in (1, 3))
-    shift = (oh * 3600 + om * 60) * F.when(F.startswith(offset, F.lit("-")), -1).otherwise(1)
-    inside = lambda c, low, high: c.between(low, high)
-    valid = (F.coalesce(col.rlike(_ISO), F.lit(False)) & inside(year, *YEARS) & inside(m, 1, 12) & inside(d, 1, 31) & inside(h, 0, 23) & inside(mi, 0, 59) & inside(s, 0, 59)
-             & inside(oh, 0, 23) & inside(om, 0, 59) & (hour.isNull() | day.isNotNull()) & (offset.isNull() | time.isNotNull()))
-    epoch = F.try_add(F.try_multiply(days, F.lit(86400).cast("long")), (h * 3600 + mi * 60 + s - shift).cast("long"))
-    precision = F.when(second.isNotNull(), 6).when(minute.isNotNull(), 5).when(hour.isNotNull(), 4).when(day.isNotNull(), 3).when(month.isNotNull(), 2).otherwise(1)
-    fields = {"year": year, "month": month, "day": day, "hour": hour, "minute": minute, "second": second, "offset": offset, "epoch": epoch, "precision": precision}
-    return F.when(valid, F.struct(*(c.alias(n) for n, c in fields.items())))
+
+    def dated(p: Column) -> Column:
+        year, month, day, hour, minute, second, offset = (p[n] for n in _PARTS)
+        # the calendar repeats every 400 years, so a year of the cycle from 2000 on stands for all that share its place there
+        alias = F.pmod(year, F.lit(_CYCLE)) + 2000
+        first = F.make_date(alias.cast("int"), at(month, 1, 12), F.lit(1))
+        d = F.coalesce(day, F.lit(1) if default_first else F.dayofmonth(F.last_day(first)))
+        days = F.unix_date(first) + d - 1 + F.call_function("div", year - alias, F.lit(_CYCLE).cast("long")) * _CYCLE_DAYS
+        digits = F.rpad(F.translate(offset, "+-:", ""), 4, "0")
+        shift = (F.left(digits, F.lit(2)).cast("int") * 3600 + F.right(digits, F.lit(2)).cast("int") * 60) * F.when(F.startswith(offset, F.lit("-")), -1).otherwise(1)
+        time = at(hour, 0, 23) * 3600 + at(minute, 0, 59) * 60 + at(second, 0, 59) - F.when(offset != "Z", shift).otherwise(0)
+        epoch = F.try_add(F.try_multiply(days, F.lit(86400).cast("long")), time.cast("long"))
+        precision = F.when(second.isNotNull(), 6).when(minute.isNotNull(), 5).when(hour.isNotNull(), 4).when(day.isNotNull(), 3).when(month.isNotNull(), 2).otherwise(1)
+        return F.when((year >= YEARS[0]) & (year <= YEARS[1]), F.struct(*(p[n].alias(n) for n in _PARTS), epoch.alias("epoch"), precision.alias("precision")))
+
+    # one match gives all parts; those that the text lacks, and all of other texts, are empty and so null
+    parts = F.regexp_replace(col, f"(?s){_ISO}|^.*$", "$1,$2,$3,$4,$5,$6,$7,")
+    return _once(F.from_csv(parts, ", ".join(f"{n} {t}" for n, t in (_PARTS | {"rest": "string"}).items())), dated)
 
 
 def iso_format(parsed: Column) -> Column:
     """The text of an iso_parse struct, as precise as it is: years have four digits or more."""
-    year = F.concat(F.when(parsed["year"] < 0, "-").otherwise(""), F.format_string("%04d", F.abs(parsed["year"])))
-    two = lambda mark, n: F.coalesce(F.concat(F.lit(mark), F.format_string("%02d", parsed[n]), F.lit("")), F.lit(""))
-    part = lambda mark, n: F.when(parsed[n].isNotNull(), two(mark, n)).otherwise("")
-    return F.when(parsed.isNotNull(), F.concat(year, *(part(a, n) for a, n in (("-", "month"), ("-", "day"), ("T", "hour"), (":", "minute"), (":", "second"))), F.coalesce(parsed["offset"], F.lit(""))))
+
+    def text(p: Column) -> Column:
+        year = F.when(p["year"] >= 1000, p["year"].cast("string")).otherwise(F.format_string("%s%04d", F.when(p["year"] < 0, "-").otherwise(""), F.abs(p["year"])))
+        part = lambda mark, n: F.get(F.split(F.lit(" ".join(f"{mark}{i:02d}" for i in range(60))), " "), p[n])
+        return F.when(p.isNotNull(), F.concat_ws("", year, *(part(a, n) for a, n in (("-", "month"), ("-", "day"), ("T", "hour"), (":", "minute"), (":", "second"))), p["offset"]))
+
+    return _once(parsed, text)
 
 
 def sql_datetime(col: Column, timezone: str | None = None) -> Column:

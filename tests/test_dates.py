@@ -1,6 +1,7 @@
 """Dates and text patterns, case by case."""
 
 import calendar
+import re
 from datetime import datetime, timezone
 
 import pytest
@@ -31,6 +32,16 @@ def test_no_dates(spark, text):
     assert one(spark, dates.iso_parse, text) is None
 
 
+def test_generated_code(spark, capsys):
+    """A text is matched once, so the code that Spark makes stays below the 8,000 bytes of a method up to which the JVM compiles it."""
+    texts = spark.range(1).select(F.col("id").cast("string").alias("v"))
+    parsed = dates.iso_parse(F.col("v"))
+    for c in (parsed, dates.iso_format(parsed), F.when(F.col("v") > "1", parsed)):
+        texts.select(c.alias("c")).explain(mode="codegen")
+        sizes = re.findall(r"maxMethodCodeSize:(-?[0-9]+)", capsys.readouterr().out)
+        assert sizes and all(0 < int(n) < 8000 for n in sizes)
+
+
 def test_database_dates(spark):
     text = lambda tz=None: lambda c: dates.full_date(dates.sql_datetime(c, tz))
     cases = {"2020-05-06 07:08:09": "2020-05-06T07:08:09", "2020-05-06T00:00:00.123": "2020-05-06", "86461": "1970-01-02T00:01:01", "0000-00-00 00:00:00": None, "2038-01-01": None, "1970-01-01 01:00:00": None, "0999-01-01": None, "": None, "abc": None, "0": None}
